@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, sharding
+from . import decontamination, exact_dedup, packing, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,26 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.scan(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_hit").alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
+        (F.col("_n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = toxicity.fit(docs, _table(spark, sf_dir, "labels"), ~toxicity.held_out())
+    scored = toxicity.score(docs, weights)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
@@ -43,11 +63,35 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op8_exact_dedup": op8_exact_dedup, "op9_packing": op9_packing}
+    return {
+        "op1_sharding": op1_sharding,
+        "op6_decontamination": op6_decontamination,
+        "op8_exact_dedup": op8_exact_dedup,
+        "op9_packing": op9_packing,
+        "op10_toxicity": op10_toxicity,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_decontamination": r"""
+            WITH words AS (
+                SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w FROM documents),
+            items AS (
+                SELECT item_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w FROM benchmark),
+            test AS (
+                SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS g
+                FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)),
+            hits AS (
+                SELECT doc_id, i, n, item_id FROM
+                (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS g FROM
+                    (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, (SELECT DISTINCT n FROM test) WHERE len(w) >= n))
+                JOIN test USING (n, g)),
+            covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
+            found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY 1)
+            SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+                   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+            FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
         "op8_exact_dedup": """
             WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
             SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
