@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, packing, sharding, toxicity
+from . import decontamination, exact_dedup, jaccard_join, packing, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(_table(spark, sf_dir, "documents"), n=5, percent=75)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.scan(docs, _table(spark, sf_dir, "benchmark"))
@@ -65,6 +69,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_jaccard_join": op2_jaccard_join,
         "op6_decontamination": op6_decontamination,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_packing": op9_packing,

@@ -92,9 +92,10 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id
     picked = picked.withColumn("order", F.xxhash64(F.lit(3), doc_id)).orderBy("order", doc_id).limit(rows)
     texts = docs.select(doc_id, text).join(F.broadcast(picked), doc_id).select("order", "label", text)
     sample = written(texts.mapInArrow(_extract, "order long, label int, places binary"), "toxic-train")
-    again = sample.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS))))
-    stream = again.repartition(1).sortWithinPartitions("epoch", F.xxhash64("epoch", "order"), "places")
-    found = stream.select("label", "places").mapInPandas(_train, "place int, weight double").collect()  # PLACES + 1 at most
+    stream = sample
+    for _ in range(EPOCHS - 1):
+        stream = stream.union(sample)
+    found = stream.coalesce(1).select("label", "places").mapInPandas(_train, "place int, weight double").collect()  # PLACES + 1 at most
     weights = np.zeros(PLACES + 1)
     for r in found:
         weights[r["place"]] = r["weight"]
