@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, jaccard_join, packing, sharding, suffix_dedup, toxicity
+from . import decontamination, exact_dedup, jaccard_join, lm_scoring, packing, sharding, span_dedup, suffix_dedup, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,21 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", size.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.remove_spans(_table(spark, sf_dir, "documents"))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return lm_scoring.score(docs, lm_scoring.train(docs))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), tokenizer_files()[0], public_tokenizers.PATTERN)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.scan(docs, _table(spark, sf_dir, "benchmark"))
@@ -77,6 +92,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sharding": op1_sharding,
         "op2_jaccard_join": op2_jaccard_join,
         "op3_suffix_dedup": op3_suffix_dedup,
+        "op4_span_dedup": op4_span_dedup,
+        "op5_lm_scoring": op5_lm_scoring,
+        "op7_token_counts": op7_token_counts,
         "op6_decontamination": op6_decontamination,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_packing": op9_packing,
