@@ -1,14 +1,17 @@
 """Self-join of documents by the Jaccard similarity of their word shingles, by a token-group matrix.
 
 1. Every document becomes a set of 64-bit shingle hashes; equal sets are one set from here on.
-2. An order of shingles, rare before frequent, gives each set a prefix that every similar set shares a member of.
-   Owners of hash ranges count shingles, and then gather which sets share one of their prefixes.
-3. Sets are linked to pivots of the lists so found, and the links verified; connected sets form a group.
-4. The token-group matrix holds the union of each group's shingles. A set that shares a prefix shingle with another
-   group is a query to it; its overlap with the union bounds the overlap with any member.
-5. Only groups whose bound qualifies are opened, and their members compared with the query.
-
-Shingle hashes travel between partitions as packed blocks, not as rows.
+2. An order of shingles, rare before frequent, gives each set a prefix. Similar sets share so many members of their
+   prefixes, however they differ otherwise. Owners of hash ranges count shingles, and then list which sets share a
+   shingle of their prefixes.
+3. Each set joins the most central set with which it shares much: sets so joined form a group. A set is compared with
+   the one it joined; those that links connect to most of their group are its core.
+4. The token-group matrix says which groups have a shingle in a member's prefix. A set is a query to other groups
+   that it shares a list with; the sum over its row of the matrix bounds what it shares with any member.
+5. Only groups whose bound qualifies are opened. Their queries, and their own members outside of the core, are
+   compared with their members, block by block; a comparison of blocks returns a forest of links, not all of them.
+
+Shingle hashes travel between partitions as packed blocks, not as rows. A comparison is of whole sets.
 """
 
 from __future__ import annotations
@@ -34,8 +37,12 @@ ORDER_SHINGLES = 2_000_000
 BROADCAST_IDS = 1_000_000
 #: Shingles that a task holds before it sends them.
 HELD = 4_000_000
-#: Pivots of a list.
-PIVOTS = 4
+#: Times what similar sets share at least: so much makes a set join another. It decides on groups, not on links.
+JOINS = 1
+#: Sets in a block, on average, and common shingles that are counted at once.
+BLOCK, COUNTED = 512, 4_000_000
+#: Prefixes are longer by a SHARE-th of a set than one common shingle would take; then so many are common.
+SHARE = 4
 #: Bits of a shingle that travel, besides its owner.
 BITS = 40
 
@@ -118,6 +125,20 @@ def _frequent(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([owner, pa.array(value[at][hot].astype(np.int64)), pa.array(total[hot])], names=["owner", "value", "docs"])
 
 
+def prefix_sizes(size: np.ndarray, percent: int) -> np.ndarray:
+    """Similar sets a and b have least(need(a), need(b)) common members, or more, in their prefixes of these sizes.
+
+    Their overlap is p = ceil(percent / 100 * size) at least, for either size; so of the common members in their
+    order, the first m stand among the first size - p + m of either set.
+    """
+    return size - -(-size * percent // 100) + size // SHARE + 1
+
+
+def _need(size: Column, percent: int) -> Column:
+    """What a set must share with a similar one, which may be smaller. One shingle less, as two may travel as one."""
+    return F.greatest(F.lit(1), F.floor(F.ceil(size * percent / 100) / SHARE)).cast("long")
+
+
 def _send_prefixes(owners: int, n: int, percent: int, frequent):
     def flush(held: list) -> pa.RecordBatch:
         return _blocks(*_owned(np.concatenate([x[0] for x in held]), owners), np.concatenate([x[1] for x in held]), owners)
@@ -142,7 +163,7 @@ def _send_prefixes(owners: int, n: int, percent: int, frequent):
                 order = np.lexsort((h, late, row))
                 count = np.where(take, sizes, 0)
                 rank = np.arange(len(h)) - np.repeat(np.cumsum(count) - count, count)
-                chosen = order[rank < (count - -(-count * percent // 100) + 1)[row]]
+                chosen = order[rank < np.minimum(count, prefix_sizes(count, percent))[row]]
                 held.append((h[chosen], ids[row[chosen]]))
                 size += len(chosen)
                 if size >= HELD:
@@ -155,7 +176,7 @@ def _send_prefixes(owners: int, n: int, percent: int, frequent):
 
 
 def _lists(table: pa.Table) -> pa.Table:
-    """An owner's lists of two or more sets that share a shingle of their prefixes; equal lists are one."""
+    """An owner's lists of two or more sets that share a shingle of their prefixes; of equal lists one, with their number."""
     blocks = table.to_pylist()
     value = np.concatenate([golomb_decode(b["n"], b["k"], b["code"]) for b in blocks])
     ids = np.concatenate([np.frombuffer(b["more"], "<i8") for b in blocks])
@@ -168,9 +189,12 @@ def _lists(table: pa.Table) -> pa.Table:
     at, size = at[size > 1], size[size > 1]
     found: dict[bytes, int] = {}
     for a, s in zip(at, size):
-        found.setdefault(ids[a : a + s].tobytes(), len(found))
-    number = [(blocks[0]["owner"] << 40) + x for x in found.values()]
-    return pa.Table.from_arrays([pa.array(number, pa.int64()), pa.array([np.frombuffer(x, "<i8") for x in found], pa.list_(pa.int64()))], names=["list", "sets"])
+        key = ids[a : a + s].tobytes()
+        found[key] = found.get(key, 0) + 1
+    number = (blocks[0]["owner"] << 40) + np.arange(len(found))
+    return pa.Table.from_arrays(
+        [pa.array(number, pa.int64()), pa.array([np.frombuffer(x, "<i8") for x in found], pa.list_(pa.int64())), pa.array(list(found.values()), pa.int64())], names=["list", "sets", "shared"]
+    )
 
 
 def _documents(n: int):
@@ -212,6 +236,79 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").filter(fits).filter(_similar(percent)).select("a", "b")
 
 
+def _sets(docs: DataFrame, first: DataFrame, ends: DataFrame, n: int) -> DataFrame:
+    """The sets with these numbers, each made from one document that has it."""
+    wanted = written(first.join(ends.select("set").distinct(), "set").select("doc_id", F.col("set").alias("wanted")), "wanted")
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    rows = docs.alias("d").join(few.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select("d.text", "w.wanted")
+    sets = rows.mapInArrow(_members(n), "set long, wanted long, shingles array<long>").filter("set = wanted").drop("wanted")
+    return written(sets, "shingles").dropDuplicates(["set"])
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Of edges, those that connect what the ones before them don't."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := root.get(x, x)) != x:
+            root[x] = x = root.get(y, y)
+        return x
+
+    kept = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            kept.append(i)
+    return kept
+
+
+def _compare(percent: int):
+    def compare(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        ids, sets = table.column("set").to_numpy(), table.column("shingles").combine_chunks()
+        sizes = np.diff(sets.offsets.to_numpy())
+        tokens, row = sets.flatten().to_numpy(), np.repeat(np.arange(len(ids)), sizes)
+        right = side[row] == 1
+        order = np.argsort(tokens[right], kind="stable")
+        there, there_row = tokens[right][order], row[right][order]
+        mine, mine_row = tokens[~right], row[~right]
+        low, high = np.searchsorted(there, mine, "left"), np.searchsorted(there, mine, "right")
+        n, out = high - low, []
+        cuts = np.flatnonzero(np.append(True, mine_row[1:] != mine_row[:-1])) if len(mine_row) else np.zeros(0, np.int64)
+        ends, a = np.append(cuts[1:], len(mine)), 0
+        total = np.append(0, np.cumsum(n))
+        while a < len(cuts):  # runs of whole rows of the left side
+            b = max(a + 1, int(np.searchsorted(total[ends], total[cuts[a]] + COUNTED, side="right")))
+            s, e = int(cuts[a]), int(ends[b - 1])
+            k = n[s:e]
+            at = np.repeat(low[s:e] - np.append(0, np.cumsum(k)[:-1]), k) + np.arange(int(k.sum()))
+            pair = np.repeat(mine_row[s:e], k) * len(ids) + there_row[at]
+            pair, both = np.unique(pair, return_counts=True)
+            x, y = pair // len(ids), pair % len(ids)
+            ok = (both * 100 >= (sizes[x] + sizes[y] - both) * percent) & (ids[x] != ids[y])
+            out.append(np.stack([ids[x[ok]], ids[y[ok]]]))
+            a = b
+        x, y = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+        kept = forest(x, y)
+        return pa.table({"a": pa.array(x[kept], pa.int64()), "b": pa.array(y[kept], pa.int64())})
+
+    return compare
+
+
+def _opened(left: DataFrame, right: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Links between the left sets and the right sets of each group, as forests of the blocks that were compared."""
+    sets = sets_of(left.select("set").union(right.select("set")))
+    counts = left.groupBy("group").agg(F.count(F.lit(1)).alias("l")).join(right.groupBy("group").agg(F.count(F.lit(1)).alias("r")), "group")
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    counts = written(counts.select("group", blocks("l").alias("l"), blocks("r").alias("r")), "block-counts")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("set"), F.col(n)).cast("int")
+    rows = left.join(counts, "group").select("group", "set", F.lit(0).alias("side"), own("l").alias("x"), each("r").alias("y"))
+    rows = rows.union(right.join(counts, "group").select("group", "set", F.lit(1).alias("side"), each("l").alias("x"), own("r").alias("y")))
+    return rows.join(sets, "set").groupBy("group", "x", "y").applyInArrow(_compare(percent), "a long, b long")
+
+
 def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles (distinct), component_id (least doc_id that links reach).
 
@@ -226,7 +323,8 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: st
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     described = written(docs.mapInArrow(_documents(n), f"doc_id {kind}, n_shingles long, set long"), "sets")
-    first = described.filter("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
+    first = described.filter("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("size"))
+    first = written(first, "distinct-sets")
 
     counts = docs.select("text").mapInArrow(_send_counts(owners, n), _BLOCK)
     frequent = written(counts.groupBy("owner").applyInArrow(_frequent, "owner int, value long, docs long"), "frequent")
@@ -236,43 +334,34 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: st
     hot = np.array([(r["owner"] << BITS) | r["value"] for r in many.select("owner", "value").toLocalIterator()], dtype=U)
     hot = spark.sparkContext.broadcast(np.sort(hot))
     prefixes = docs.select("text").mapInArrow(_send_prefixes(owners, n, percent, hot), _BLOCK)
-    lists = written(prefixes.groupBy("owner").applyInArrow(_lists, "list long, sets array<long>"), "lists")
-
-    involved = lists.select(F.explode("sets").alias("set")).distinct()
-    wanted = written(first.join(involved, "set").select("doc_id", F.col("set").alias("wanted")), "wanted")
-    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    rows = docs.alias("d").join(few.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select("d.text", "w.wanted")
-    sets = rows.mapInArrow(_members(n), "set long, wanted long, shingles array<long>").filter("set = wanted").drop("wanted").dropDuplicates(["set"])
-    sets = written(sets, "shingles")
-
-    # groups: verified links to pivots
-    pivots = [_pivot(k) for k in range(PIVOTS)]
-    stars = lists.select("sets", F.explode(F.array_distinct(F.array(*pivots))).alias("b")).select(F.explode("sets").alias("a"), "b").filter("a <> b")
-    stars = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = written(_verified(stars, sets, percent), "links")
-    groups = written(components(links), "groups")
+    lists = written(prefixes.groupBy("owner").applyInArrow(_lists, "list long, sets array<long>, shared long"), "lists")
+    exploded = lists.select("list", "shared", F.size("sets").alias("length"), F.explode("sets").alias("set"))
+    central = exploded.groupBy("set").agg(F.sum(F.col("shared") * F.col("length")).alias("central"))
+    placed = written(exploded.drop("length").join(central.join(first.select("set", "size"), "set"), "set"), "placed")
+
+    # groups: each set joins one that is more central
+    pivots = placed.groupBy("list").agg(F.max(F.struct("central", "set")).alias("pivot")).select("list", F.col("pivot.set").alias("b"))
+    near = placed.join(pivots, "list").filter("set <> b").groupBy(F.col("set").alias("a"), "size", "b").agg(F.sum("shared").alias("shared"))
+    near = near.filter(F.col("shared") >= _need(F.col("size"), percent) * JOINS)
+    joined = written(near.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best")).select("a", F.col("best.b").alias("b")), "joined")
+    of = written(components(joined).select(F.col("node").alias("set"), F.col("component").alias("group")), "groups")
+    links = written(_verified(joined, _sets(docs, first, joined.select(F.explode(F.array("a", "b")).alias("set")), n), percent), "links")
+    parts = components(links).select(F.col("node").alias("set"), F.col("component").alias("part"))
+    inside = written(of.join(parts, "set", "left").withColumn("part", F.coalesce("part", "set")), "parts")
+    core = inside.groupBy("group", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("group").agg(F.max(F.struct("n", "part")).alias("core"))
+    outside = inside.join(core, "group").filter(F.col("part") != F.col("core.part")).select("group", "set")
 
     # the matrix, its bound, and the groups that it leaves to open
-    of = groups.select(F.col("node").alias("set"), F.col("component").alias("group"))
-    placed = lists.select("list", F.explode("sets").alias("set")).join(of, "set", "left").withColumn("group", F.coalesce("group", "set"))
-    placed = written(placed.select("list", "set", "group"), "placed")
-    mixed = placed.groupBy("list").agg(F.min("group").alias("g0"), F.max("group").alias("g1")).filter("g0 <> g1").select("list")
-    placed = placed.join(mixed, "list", "left_semi")
-    columns = placed.select("list", F.col("group").alias("other")).distinct()
-    asked = placed.join(columns, "list").filter("group > other").select(F.col("set").alias("query"), "other").distinct()
-    asked = written(asked, "asked")
-    everyone = sets.select("set", "shingles").join(of, "set", "left").withColumn("group", F.coalesce("group", "set"))
-    opened = written(everyone.join(asked.select(F.col("other").alias("group")).distinct(), "group", "left_semi"), "opened")
-    matrix = opened.select(F.col("group").alias("other"), F.explode("shingles").alias("shingle")).distinct()
-    least = opened.groupBy(F.col("group").alias("other")).agg(F.min(F.size("shingles")).alias("least"))
-    sizes = sets.select(F.col("set").alias("query"), F.size("shingles").alias("size"), "shingles")
-    tokens = asked.join(sizes, "query").select("query", "other", "size", F.explode("shingles").alias("shingle"))
-    bound = tokens.join(matrix, ["other", "shingle"]).groupBy("query", "other", "size").agg(F.count(F.lit(1)).alias("bound"))
-    bound = bound.join(least, "other").filter(F.col("bound") * 100 >= F.greatest("size", "least") * percent)
-    pairs = bound.select("query", "other").join(opened.select(F.col("group").alias("other"), F.col("set").alias("b")), "other").select(F.col("query").alias("a"), "b")
-    more = written(_verified(pairs, sets, percent), "links-between")
-    if more.take(1):
-        groups = written(components(links.union(more)), "groups")
+    grouped = placed.join(of, "set", "left").select("list", "shared", "set", "size", F.coalesce("group", "set").alias("group"))
+    mixed = grouped.groupBy("list").agg(F.min("group").alias("g0"), F.max("group").alias("g1")).filter("g0 <> g1").select("list")
+    grouped = written(grouped.join(mixed, "list", "left_semi"), "mixed-lists")
+    matrix = grouped.select("list", F.col("group").alias("other")).distinct()
+    bound = grouped.join(matrix, "list").filter("group > other").groupBy("set", "size", "other").agg(F.sum("shared").alias("shared"))
+    queries = bound.filter(F.col("shared") >= _need(F.col("size"), percent)).select(F.col("other").alias("group"), "set")
+    left = written(queries.union(outside), "queries")
+    members = left.select("group").distinct().join(of, "group", "left").select("group", F.coalesce("set", "group").alias("set"))
+    found = _opened(left, written(members, "members"), lambda ends: _sets(docs, first, ends, n), percent)
+    groups = written(components(links.union(written(found, "more-links"))), "components")
 
     named = first.join(groups.select(F.col("node").alias("set"), "component"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -281,11 +370,6 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: st
     return out.select(F.col("doc_id").alias(doc_id), "n_shingles", F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _pivot(k: int) -> Column:
-    """The set of a list whose seeded hash is least."""
-    return F.array_min(F.transform("sets", lambda s: F.struct(F.xxhash64(F.lit(k), s).alias("h"), s.alias("s"))))["s"]
-
-
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without all of each component but those with its least doc_id, with the columns as they were."""
     gone = written(similar_documents(docs, n, percent, doc_id, text).filter(F.col(doc_id) != F.col("component_id")).select(doc_id), "near")
