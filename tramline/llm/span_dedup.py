@@ -18,7 +18,7 @@ from .text import SPACED, U, Words, chunks, mix, powers
 
 #: Sentences and words that a run has at least; words after which a sentence is cut.
 SENTENCES, WORDS, LONGEST = 3, 25, 12
-#: Up to so many rows (repeated runs, or documents to change) are broadcast; more are joined by a shuffle.
+#: Up to so many documents to change have their spans broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 400_000
 _END = np.isin(np.arange(256), [ord(c) for c in ".!?"])
 
@@ -126,7 +126,7 @@ def remove_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS
     own = F.struct("doc_id", "sid", "first")
     again = runs.groupBy("h").agg(F.min(own).alias("origin"), F.max(own).alias("other")).filter(~F.col("origin").eqNullSafe(F.col("other"))).select("h", "origin")
     again = written(again, "repeated-runs")
-    later = runs.join(limited(again), "h").filter(~own.eqNullSafe(F.col("origin"))).select("doc_id", "sid", "first", "last").distinct()
+    later = runs.join(again, "h").filter(~own.eqNullSafe(F.col("origin"))).select("doc_id", "sid", "first", "last").distinct()
     spans = written(later.groupBy("doc_id", "sid").applyInArrow(_pack, f"d {kind}, s long, spans binary"), "spans")
     out = docs.join(limited(spans), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("sid") == F.col("s")), "left").select("doc_id", "text", "spans")
     return out.mapInArrow(_cut(size), f"doc_id {kind}, n_sentences long, n_removed long, text string").withColumnRenamed("doc_id", doc_id)
