@@ -36,11 +36,11 @@ ORDER_SHINGLES = 2_000_000
 #: Up to so many ids of documents are broadcast to pick their rows; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Shingles that a task holds before it sends them.
-HELD = 4_000_000
+HELD = 1_000_000
 #: Times what similar sets share at least: so much makes a set join another. It decides on groups, not on links.
 JOINS = 1
 #: Sets in a block, on average, and common shingles that are counted at once.
-BLOCK, COUNTED = 512, 4_000_000
+BLOCK, COUNTED = 512, 1_000_000
 #: Prefixes are longer by a SHARE-th of a set than one common shingle would take; then so many are common.
 SHARE = 4
 #: Bits of a shingle that travel, besides its owner.
@@ -372,6 +372,6 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: st
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without all of each component but those with its least doc_id, with the columns as they were."""
-    gone = written(similar_documents(docs, n, percent, doc_id, text).filter(F.col(doc_id) != F.col("component_id")).select(doc_id), "near")
+    gone = written(similar_documents(docs, n, percent, doc_id, text).filter(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("_gone")), "near")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(gone, doc_id, "left_anti").select(*docs.columns)
+    return docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")
