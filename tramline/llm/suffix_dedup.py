@@ -30,7 +30,7 @@ ANCHOR, STEP = 128, 16
 #: An anchor piece with more contexts is compared string by string.
 HOT_CONTEXTS = 20_000
 #: Symbols of a suffix array, unless one core has more.
-SYMBOLS = 1_000_000
+SYMBOLS = 250_000
 #: Up to so many rows (anchor keys, or texts with their places), tables are broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 400_000
 _PLACE = U((1 << 26) - 1)  # places in a chunk; the hash above them decides first
