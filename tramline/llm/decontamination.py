@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import packed, unpacked
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -47,11 +49,10 @@ def _finish(docs: DataFrame, n_words: Column, hits: Column) -> DataFrame:
     step = lambda a, h: F.struct(
         F.greatest(a["end"], h["i"] + h["length"]).alias("end"), (a["n"] + F.greatest(F.lit(0), h["i"] + h["length"] - F.greatest(a["end"], h["i"]))).alias("n")
     )
-    out = docs.withColumns({"_n_words": n_words, "_hits": F.array_sort(hits)})
-    out = out.withColumn("_items", F.array_sort(F.array_distinct(F.transform(F.flatten(F.col("_hits.items")), lambda x: x.cast("string")))))
-    return out.withColumns({"_n_hit": F.aggregate("_hits", zero, step, lambda a: a["n"])}).select(
-        *docs.columns, F.col("_n_words").cast("long").alias("_n_words"), "_n_hit", "_items", F.transform("_hits", lambda h: F.struct(h["i"].alias("i"), h["length"].alias("length"))).alias("_hits")
-    )
+    out = docs.withColumn("found", F.array_sort(hits))
+    items = F.array_sort(F.array_distinct(F.transform(F.flatten(F.col("found.items")), lambda x: x.cast("string"))))
+    places = F.transform("found", lambda h: F.struct(h["i"].alias("i"), h["length"].alias("length")))
+    return out.select("row", n_words.cast("long").alias("n_words"), F.aggregate("found", zero, step, lambda a: a["n"]).alias("n_hit"), items.alias("items"), places.alias("hits"))
 
 
 def _by_plan(docs: DataFrame, found: list, text: str) -> DataFrame:
@@ -59,7 +60,7 @@ def _by_plan(docs: DataFrame, found: list, text: str) -> DataFrame:
     at = {r["k"]: p for p, r in enumerate(found, 1)}
     keys = F.expr("cast(split('" + ",".join(map(str, at)) + "', ',') as array<bigint>)")
     texts = F.split(F.lit("\n".join(" ".join(r["words"]) for r in found)), "\n")
-    items = F.transform(F.split(F.lit("\n".join(",".join(str(x) for x in r["items"]) for r in found)), "\n"), lambda x: F.split(x, ","))
+    items = F.transform(F.split(F.lit("\n".join(",".join(str(x) for x in r["items"]) for r in found)), "\n"), lambda x: F.filter(F.split(x, ","), lambda i: i != ""))
 
     def occurrences(w: Column, n: int) -> Column:
         of_n = [r["k"] for r in found if r["length"] == n]
@@ -72,25 +73,38 @@ def _by_plan(docs: DataFrame, found: list, text: str) -> DataFrame:
         hits = F.transform(F.concat(*[occurrences(w, n) for n in kinds]), lambda h: F.struct(h["i"].alias("i"), h["length"].alias("length"), F.element_at(items, h["p"]).alias("items")))
         return F.struct(F.size(w).alias("n"), hits.alias("hits"))
 
-    out = _finish(docs.withColumn("_scan", _let(words(F.col(text)), of)), F.col("_scan.n"), F.col("_scan.hits"))
-    return out.drop("_scan")
+    return _finish(docs.withColumn("scan", _let(words(F.col("row")[text]), of)), F.col("scan.n"), F.col("scan.hits"))
 
 
 def _by_join(docs: DataFrame, table: DataFrame, n_windows: int, kinds: list[int], doc_id: str, text: str) -> DataFrame:
-    key = docs.withColumns({"_id": F.col(doc_id), "_hash": F.xxhash64(text)})
+    key = docs.withColumns({"id": F.col("row")[doc_id], "hash": F.xxhash64(F.col("row")[text])})
 
     def of_length(w: Column, n: int) -> Column:
         return F.transform(_starts(w, n), lambda i: F.struct(i.alias("i"), F.lit(n).alias("length"), F.xxhash64(F.slice(w, i, n)).alias("k")))
 
     hashed = lambda w: F.concat(*[of_length(w, n) for n in kinds])
-    rows = key.select("_id", "_hash", F.explode(_let(words(F.col(text)), hashed)).alias("h")).select("_id", "_hash", "h.*")
+    rows = key.select("id", "hash", F.explode(_let(words(F.col("row")[text]), hashed)).alias("h")).select("id", "hash", "h.*")
     near = rows.join(F.broadcast(table) if n_windows <= BROADCAST_WINDOWS else table, ["k", "length"])
-    near = near.groupBy(F.col("_id").alias("_id2"), F.col("_hash").alias("_hash2")).agg(F.collect_set(F.struct("i", "length", "words", "items")).alias("_near"))
-    out = key.join(near, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_hash") == F.col("_hash2")), "left")
-    checked = lambda w: F.struct(F.size(w).alias("n"), F.filter(F.coalesce("_near", F.array().cast(near.schema["_near"].dataType)), lambda h: F.slice(w, h["i"], h["length"]) == h["words"]).alias("hits"))
-    out = out.withColumn("_scan", _let(words(F.col(text)), checked)).drop("_id", "_hash", "_id2", "_hash2", "_near")
-    hits = F.transform(F.col("_scan.hits"), lambda h: F.struct(h["i"].alias("i"), h["length"].alias("length"), F.transform(h["items"], lambda x: x.cast("string")).alias("items")))
-    return _finish(out, F.col("_scan.n"), hits).drop("_scan")
+    near = near.groupBy(F.col("id").alias("id2"), F.col("hash").alias("hash2")).agg(F.collect_set(F.struct("i", "length", "words", "items")).alias("near"))
+    out = key.join(near, F.col("id").eqNullSafe(F.col("id2")) & (F.col("hash") == F.col("hash2")), "left")
+    none = F.array().cast(near.schema["near"].dataType)
+    checked = lambda w: F.struct(F.size(w).alias("n"), F.filter(F.coalesce("near", none), lambda h: F.slice(w, h["i"], h["length"]) == h["words"]).alias("hits"))
+    out = out.withColumn("scan", _let(words(F.col("row")[text]), checked))
+    hits = F.transform(F.col("scan.hits"), lambda h: F.struct(h["i"].alias("i"), h["length"].alias("length"), F.transform(h["items"], lambda x: x.cast("string")).alias("items")))
+    return _finish(out, F.col("scan.n"), hits)
+
+
+def _scanned(docs: DataFrame, benchmark: DataFrame, n: int, doc_id: str, text: str, plan_windows: int) -> DataFrame:
+    """Of each document: row, n_words, n_hit, items, hits."""
+    table, rows = windows(benchmark, n), packed(docs)
+    found = table.limit(plan_windows + 1).collect()
+    if not found:
+        nothing = F.array().cast("array<struct<i:int,length:int,items:array<string>>>")
+        return _finish(rows, F.size(words(F.col("row")[text])), nothing)
+    if len(found) <= plan_windows and len({r["k"] for r in found}) == len(found):
+        return _by_plan(rows, found, text)
+    kinds = [r["length"] for r in table.select("length").distinct().collect()]  # n of them at most
+    return _by_join(rows, table, table.count(), kinds, doc_id, text)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, doc_id: str = "doc_id", text: str = "text", plan_windows: int = PLAN_WINDOWS) -> DataFrame:
@@ -100,19 +114,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, doc_id: str = "doc_
     A window is n consecutive words of an item; an item of fewer words, but not none, is one window. Hits by hash
     are verified word by word. A null or empty text has no words and no hits; null and repeated item_ids are
     taken as they are; without items nothing is hit; an empty table gives an empty result; repeated rows get equal results.
-    Columns of docs beginning with "_" are not allowed.
+    Other columns are carried along; those named like an added one are replaced.
     """
-    table = windows(benchmark, n)
-    found = table.limit(plan_windows + 1).collect()
-    if len(found) <= plan_windows and len({r["k"] for r in found}) == len(found):
-        found = [r for r in found]
-        if not found:
-            return _finish(docs, F.size(words(F.col(text))), F.array().cast("array<struct<i:int,length:int,items:array<string>>>"))
-        return _by_plan(docs, found, text)
-    kinds = [r["length"] for r in table.select("length").distinct().collect()]  # n of them at most
-    return _by_join(docs, table, table.count(), kinds, doc_id, text)
+    out = _scanned(docs, benchmark, n, doc_id, text, plan_windows)
+    return unpacked(out, docs.columns, _n_words=F.col("n_words"), _n_hit=F.col("n_hit"), _items=F.col("items"), _hits=F.col("hits"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, n: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents in which no window of the benchmark occurs."""
-    return scan(docs, benchmark, n).filter(F.col("_n_hit") == 0).select(*docs.columns)
+    return unpacked(_scanned(docs, benchmark, n, doc_id, text, PLAN_WINDOWS).filter("n_hit = 0"), docs.columns)

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import partitions, written
+from .shared import packed, partitions, unpacked, written
 
 #: Bits of a fingerprint within its owner's range. Chance hits among them only make more suspects.
 BITS = 44
@@ -118,11 +118,11 @@ def suspects(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def _suspect_rows(docs: DataFrame, marked: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
-    """The documents with _text and _sha: suspects, and all the others."""
+    """The documents as structs `row`, with _text and _sha: suspects, and all the others."""
     keys = written(marked.filter("suspect").select(F.col("sha").alias("_sha")).distinct(), "suspect-keys")
     if keys.count() <= BROADCAST_DIGESTS:
         keys = F.broadcast(keys)
-    hashed = docs.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).withColumn("_sha", F.unhex(F.sha2("_text", 256)))
+    hashed = packed(docs).withColumn("_text", F.coalesce(F.col("row")[text], F.lit(""))).withColumn("_sha", F.unhex(F.sha2("_text", 256)))
     return hashed.join(keys, "_sha", "left_semi"), hashed.join(keys, "_sha", "left_anti")
 
 
@@ -136,7 +136,7 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     docs = docs.select(doc_id, text)
     marked = suspects(docs, doc_id, text)
     found, _ = _suspect_rows(docs, marked, text)
-    groups = found.groupBy("_sha", "_text").agg(F.max(doc_id).alias("keep_id"), F.count(F.lit(1)).alias("group_size")).drop("_text")
+    groups = found.groupBy("_sha", "_text").agg(F.max(F.col("row")[doc_id]).alias("keep_id"), F.count(F.lit(1)).alias("group_size")).drop("_text")
     top = marked.filter("suspect").groupBy(F.col("sha").alias("_sha")).agg(F.max(F.struct("doc_id", "part", "pos")).alias("_top"))
     groups = written(groups.join(top, "_sha"), "groups")
     out = marked.join(groups, marked["sha"] == groups["_sha"], "left")
@@ -151,9 +151,10 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without all but one row of each group of equal texts, with the columns as they were."""
+    """The documents without all but one row of each group of equal texts, with the columns as they were.
+
+    The row with the largest doc_id stays; of several with that doc_id, the largest by its other columns.
+    """
     found, others = _suspect_rows(docs, suspects(docs, doc_id, text), text)
-    rest = [c for c in docs.columns if c != doc_id]
-    best = found.groupBy("_sha", "_text").agg(F.max(F.struct(F.col(doc_id), F.struct(*[F.col(c) for c in rest]).alias("rest"))).alias("_row"))
-    best = best.select(F.col(f"_row.{doc_id}").alias(doc_id), *[F.col("_row.rest")[c].alias(c) for c in rest])
-    return others.select(*docs.columns).unionByName(best.select(*docs.columns))
+    best = found.groupBy("_sha", "_text").agg(F.max(F.struct(F.col("row")[doc_id].alias("id"), "row")).alias("best"))
+    return unpacked(others.select("row").unionAll(best.select("best.row")), docs.columns)

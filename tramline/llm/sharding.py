@@ -15,8 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .shared import partitions, written
+from .shared import packed, partitions, unpacked, written
 
 #: Bytes of text in a bucket, on average.
 BUCKET_BYTES = 32 << 20
@@ -62,18 +63,18 @@ def _shuffle(seed: int):
 def shard(docs: DataFrame, shards: int = 16, seed: int = 17, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Deals rows to shards in random order; law `rows`: the counts of any two shards differ by one at most.
 
-    Adds _shard (int) and _slot (long, from 0 without gaps in each shard) to the columns of docs. The order depends
+    Adds _shard (int) and _slot (long, from 0 without gaps in each shard), in place of columns of these names. The order depends
     on the rows, the seed and the number of buckets alone, so a lost task gives the same rows again. A null text or
     doc_id is dealt like any value, equal rows are dealt like others (they share a bucket, and which of them gets
-    which slot is all the same), and an empty table gives an empty result. Columns of docs named _bucket, _scatter,
-    _pos, _shard or _slot are not allowed.
+    which slot is all the same), and an empty table gives an empty result. Other columns are carried along.
     """
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 1).alias("b")).first()["b"] or 0
     n = max(partitions(spark), math.ceil(total / bucket_bytes))
-    scatter = docs.withColumn("_scatter", F.xxhash64(F.lit(seed), doc_id, text)).withColumn("_bucket", F.pmod(F.col("_scatter"), F.lit(n)).cast("int"))
-    dealt = scatter.repartitionById(n, F.col("_bucket")).sortWithinPartitions("_bucket", "_scatter", doc_id)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema) + ", _pos long"
+    scatter = packed(docs).withColumn("_scatter", F.xxhash64(F.lit(seed), F.col("row")[doc_id], F.col("row")[text]))
+    scatter = scatter.withColumn("_bucket", F.pmod("_scatter", F.lit(n)).cast("int"))
+    dealt = scatter.repartitionById(n, F.col("_bucket")).sortWithinPartitions("_bucket", "_scatter", F.col("row")[doc_id])
+    schema = T.StructType([*dealt.schema.fields, T.StructField("_pos", T.LongType())])
     rows = written(dealt.mapInArrow(_shuffle(seed), schema).drop("_scatter"), "buckets")
     counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,4 +85,4 @@ def shard(docs: DataFrame, shards: int = 16, seed: int = 17, doc_id: str = "doc_
     which = F.when(at < wide, F.floor(at / (small + 1))).otherwise(more + F.floor((at - wide) / F.greatest(small, F.lit(1))))
     start = which * small + F.least(which, more)
     rows = rows.join(F.broadcast(counts) if n <= BROADCAST_BUCKETS else counts, "_bucket")
-    return rows.select(*docs.columns, which.cast("int").alias("_shard"), (at - start).cast("long").alias("_slot"))
+    return unpacked(rows, docs.columns, _shard=which.cast("int"), _slot=(at - start).cast("long"))

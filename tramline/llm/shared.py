@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _FOLDER = "tramline-scratch"
 
@@ -38,3 +39,14 @@ def release(spark: SparkSession) -> None:
 def partitions(spark: SparkSession) -> int:
     """Partitions of a shuffle, as the cluster's settings have it; they follow the input, not this machine."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def packed(df: DataFrame, name: str = "row") -> DataFrame:
+    """All columns in one struct, so that no name of theirs can clash with another."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
+
+
+def unpacked(df: DataFrame, columns: list[str], name: str = "row", **added: Column) -> DataFrame:
+    """The columns of the struct, and added ones, which replace columns of the same name."""
+    kept = [c for c in columns if c.lower() not in {a.lower() for a in added}]
+    return df.select(*[F.col(name)[c].alias(c) for c in kept], *[a.alias(n) for n, a in added.items()])

@@ -14,6 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import written
 from .text import LETTERS, U, Words, chunks, mix
@@ -122,9 +123,14 @@ def _score(small: np.ndarray, values: np.ndarray, text_at: int):
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text") -> DataFrame:
-    """The documents with _score, from 0 to 1. A feature counts once in a document. A null or empty text has the constant's score."""
+    """The documents with _score, from 0 to 1. A feature counts once in a document. A null or empty text has the constant's score.
+
+    Other columns are carried along; one named _score is replaced. Repeated rows get equal scores; an empty table
+    gives an empty result.
+    """
     small = np.flatnonzero(weights)
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema) + "_score double"
+    docs = docs.drop("_score")
+    schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
     return docs.mapInArrow(_score(small, weights[small], docs.columns.index(text)), schema)
 
 
