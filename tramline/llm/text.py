@@ -10,7 +10,7 @@ import pyarrow as pa
 U = np.uint64
 _SEED = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93  # odd, so that it has an inverse modulo 2**64
-_CHUNK = 1 << 19
+_CHUNK = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
