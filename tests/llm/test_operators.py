@@ -453,7 +453,7 @@ def test_toxicity_learns_and_generalises(spark):
         w = list(rng.choice(clean, int(rng.integers(3, 60))))
         bad = i % 6 == 0
         if bad:
-            w.insert(int(rng.integers(0, len(w))), ["vile", "Rotten", f"nastygram{i}"][i % 3])
+            w.insert(int(rng.integers(0, len(w))), ["vile", "Rotten", f"nastygram{i}"][i // 6 % 3])
         rows.append((i, " ".join(w)))
         labels.append((i, int(bad)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -463,7 +463,7 @@ def test_toxicity_learns_and_generalises(spark):
     held = [r for r in out if r["held"]]
     assert 200 < len(held) < 400 and all(r["held"] == (binascii.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in out)
     assert sum((r["_score"] >= 0.3) == (r["doc_id"] % 6 == 0) for r in held) >= 0.97 * len(held)
-    assert 0 < np.count_nonzero(weights) < 5_000
+    assert 0 < np.count_nonzero(weights) < 2_000
 
 
 def test_toxicity_labels_out_of_bounds_do_not_matter(spark):
