@@ -15,9 +15,9 @@ from .test_operators import brute_components, brute_copies, brute_hits
 def folder(spark, docs, texts, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tables"))
     plain = docs.selectExpr("doc_id", "text", "lang", "'s' as source", "cast(length(text) as long) as n_chars")
-    extra = [(1000 + i, f"{'idiot scum' if i % 3 == 0 else 'fine day'} number w{i} of {i * 7} texts", "en", "s", 30) for i in range(150)]
+    extra = [(1000 + i, f"{'idiot scum' if i % 6 == 0 else 'fine day'} number w{i} of {i * 7} texts", "en", "s", 30) for i in range(300)]
     plain.unionByName(spark.createDataFrame(extra, plain.schema)).write.parquet(f"{path}/documents.parquet")
-    spark.createDataFrame([(1000 + i, 1, int(i % 3 == 0)) for i in range(150)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1000 + i, 1, int(i % 6 == 0)) for i in range(300)] + [(i, 1, 0) for i in range(len(texts))], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     words = texts[7].split()
     spark.createDataFrame([(1, " ".join(words[2:14]))], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     return path
@@ -40,7 +40,7 @@ def test_stages(spark, folder):
             assert packed == {r["doc_id"] for r in before}
     before, after = rows[0]
     gone = {d for d, _ in before} - after
-    assert gone and all(d >= 1000 and (d - 1000) % 3 == 0 for d in gone) and sum((d - 1000) % 3 == 0 for d in after if d >= 1000) <= 3
+    assert gone and all(d >= 1000 and (d - 1000) % 6 == 0 for d in gone) and sum((d - 1000) % 6 == 0 for d in after if d >= 1000) <= 3
     before, after = rows[1]
     assert after == {d for d, _, _, kept, _ in brute_copies(before) if kept} and len(after) < len(before)
     before, after = rows[2]

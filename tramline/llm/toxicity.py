@@ -129,9 +129,11 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text") -> DataFrame
     gives an empty result.
     """
     small = np.flatnonzero(weights)
-    docs = docs.drop("_score")
-    schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
-    return docs.mapInArrow(_score(small, weights[small], docs.columns.index(text)), schema)
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "_score"])
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    schema = T.StructType([*(T.StructField(n, f.dataType) for n, f in zip(names, docs.schema)), T.StructField("_score", T.DoubleType())])
+    scored = docs.toDF(*names).mapInArrow(_score(small, weights[small], docs.columns.index(text)), schema)
+    return scored.toDF(*docs.columns, "_score")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
