@@ -90,7 +90,7 @@ def publish(df: DataFrame, path: str) -> str:
     df.write.parquet(f"{path}/{version}")
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs = hadoop.FileSystem.get(spark._jvm.java.net.URI(path), spark._jsc.hadoopConfiguration())
-    pointer, new = hadoop.Path(f"{path}/_current"), hadoop.Path(f"{path}/_current-{version}")
+    pointer, new = hadoop.Path(f"{path}/CURRENT"), hadoop.Path(f"{path}/CURRENT-{version}")
     out = fs.create(new, True)
     out.write(bytearray(version.encode()))
     out.close()
@@ -101,5 +101,5 @@ def publish(df: DataFrame, path: str) -> str:
 
 def published(spark, path: str) -> DataFrame:
     """The version that the pointer names."""
-    version = spark.read.text(f"{path}/_current").first()["value"]
+    version = spark.read.text(f"{path}/CURRENT").first()["value"]
     return spark.read.parquet(f"{path}/{version}")

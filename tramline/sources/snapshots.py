@@ -53,7 +53,7 @@ def read_items(spark: SparkSession, paths: str | list[str], item: str) -> DataFr
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with a header; every column is text, quoted fields may hold commas and doubled quotes, empty is empty text."""
-    return spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=True, emptyValue="", nullValue="\0")
+    return spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=True, emptyValue="").fillna("")
 
 
 def read_xml_rows(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
