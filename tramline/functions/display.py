@@ -33,8 +33,9 @@ MODE_ICONS = {
     "car_rental": "CarSharing",
     "park_ride": "ParkRide",
 }
+STOP_SOURCE = "otp"
 COMPANY_MODES = ["CAR_RENT", "CAR_HAIL", "MICROMOBILITY_RENT", "SCOOTER"]
-ROUTED_HIGHWAYS_MIN_ZOOM = 10
+CHARGER_MIN_ZOOM = 10
 
 
 def match(c: Column, arms: dict, default) -> Column:
@@ -114,7 +115,7 @@ def charger_opacity(free: Column) -> Column:
 
 
 def charger_shown(free: Column, zoom: Column) -> Column:
-    return F.coalesce(free > 0, F.lit(False)) | (zoom >= ROUTED_HIGHWAYS_MIN_ZOOM)
+    return F.coalesce(free > 0, F.lit(False)) | (zoom >= CHARGER_MIN_ZOOM)
 
 
 def mode_icon(mode: Column) -> Column:
@@ -157,7 +158,7 @@ def place_location(lat: Column, lon: Column, coordinates: Column, name: Column,
 
 def poi_shape(has_properties: Column, source: Column, raw: Column, stop: Column, feature: Column) -> Column:
     """Which of three shapes a geocoded place has: itself, its stop, or its properties with coordinates."""
-    return F.when(~has_properties, raw).when(source == "otp", stop).otherwise(feature)
+    return F.when(~has_properties, raw).when(source == STOP_SOURCE, stop).otherwise(feature)
 
 
 def removed(old: Column, new: Column) -> Column:
