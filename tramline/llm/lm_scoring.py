@@ -21,7 +21,7 @@ from .text import LETTERS, U, Words, chunks
 #: Words are hashed to CLASSES * CLASSES symbols, predicted as two classes, the second given the first.
 CLASSES = 64
 #: Words on each side, size of the hidden layer, rounds, words in a step, learning rate.
-SIDE, HIDDEN, ROUNDS, STEP, RATE = 2, 24, 2, 4096, 0.15
+SIDE, HIDDEN, ROUNDS, STEP, RATE = 2, 16, 2, 4096, 0.15
 #: Rows that an average takes at once, and parts that the parameters travel in.
 FAN_IN, PARTS = 256, 16
 _OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
@@ -81,9 +81,9 @@ def learn(p: dict, squares: dict, ids: np.ndarray, around: np.ndarray) -> None:
     first *= scale
     second *= scale
     back = (first @ p["w1"].T + second @ p["w2"].T) * (1 - hidden * hidden)
-    b2 = np.zeros_like(p["b2"])
-    np.add.at(b2, a, second)
-    grads = {"bias": back.sum(axis=0), "w1": hidden.T @ first, "b1": first.sum(axis=0), "w2": hidden.T @ second, "b2": b2}
+    given = np.zeros((n, CLASSES), dtype=np.float32)
+    given[row, a] = 1
+    grads = {"bias": back.sum(axis=0), "w1": hidden.T @ first, "b1": first.sum(axis=0), "w2": hidden.T @ second, "b2": given.T @ second}
     for name, g in grads.items():
         squares[name] += g * g
         p[name] -= RATE * g / np.sqrt(squares[name])
