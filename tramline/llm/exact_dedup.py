@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import packed, partitions, unpacked, written
+from .shared import packed, partitions, sized, unpacked, written
 
 #: Bits of a fingerprint within its owner's range. Chance hits among them only make more suspects.
 BITS = 44
@@ -119,9 +119,7 @@ def suspects(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 def _suspect_rows(docs: DataFrame, marked: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     """The documents as structs `row`, with _text and _sha: suspects, and all the others."""
-    keys = written(marked.filter("suspect").select(F.col("sha").alias("_sha")).distinct(), "suspect-keys")
-    if keys.count() <= BROADCAST_DIGESTS:
-        keys = F.broadcast(keys)
+    keys = sized(written(marked.filter("suspect").select(F.col("sha").alias("_sha")).distinct(), "suspect-keys"), BROADCAST_DIGESTS)
     hashed = packed(docs).withColumn("_text", F.coalesce(F.col("row")[text], F.lit(""))).withColumn("_sha", F.unhex(F.sha2("_text", 256)))
     return hashed.join(keys, "_sha", "left_semi"), hashed.join(keys, "_sha", "left_anti")
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .exact_dedup import golomb_decode, golomb_encode
-from .shared import partitions, written
+from .shared import partitions, sized, written
 from .text import SPACED, U, Words, chunks, grams, mix
 
 #: A shingle in so many documents counts as frequent.
@@ -239,7 +239,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _sets(docs: DataFrame, first: DataFrame, ends: DataFrame, n: int) -> DataFrame:
     """The sets with these numbers, each made from one document that has it."""
     wanted = written(first.join(ends.select("set").distinct(), "set").select("doc_id", F.col("set").alias("wanted")), "wanted")
-    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    few = sized(wanted, BROADCAST_IDS)
     rows = docs.alias("d").join(few.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select("d.text", "w.wanted")
     sets = rows.mapInArrow(_members(n), "set long, wanted long, shingles array<long>").filter("set = wanted").drop("wanted")
     return written(sets, "shingles").dropDuplicates(["set"])
@@ -349,7 +349,7 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: st
     parts = components(links).select(F.col("node").alias("set"), F.col("component").alias("part"))
     inside = written(of.join(parts, "set", "left").withColumn("part", F.coalesce("part", "set")), "parts")
     core = inside.groupBy("group", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("group").agg(F.max(F.struct("n", "part")).alias("core"))
-    outside = inside.join(core, "group").filter(F.col("part") != F.col("core.part")).select("group", "set")
+    outside = inside.join(written(core, "cores"), "group").filter(F.col("part") != F.col("core.part")).select("group", "set")
 
     # the matrix, its bound, and the groups that it leaves to open
     grouped = placed.join(of, "set", "left").select("list", "shared", "set", "size", F.coalesce("group", "set").alias("group"))
@@ -359,7 +359,7 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: st
     bound = grouped.join(matrix, "list").filter("group > other").groupBy("set", "size", "other").agg(F.sum("shared").alias("shared"))
     queries = bound.filter(F.col("shared") >= _need(F.col("size"), percent)).select(F.col("other").alias("group"), "set")
     left = written(queries.union(outside), "queries")
-    members = left.select("group").distinct().join(of, "group", "left").select("group", F.coalesce("set", "group").alias("set"))
+    members = written(left.select("group").distinct(), "asked-groups").join(of, "group", "left").select("group", F.coalesce("set", "group").alias("set"))
     found = _opened(left, written(members, "members"), lambda ends: _sets(docs, first, ends, n), percent)
     groups = written(components(links.union(written(found, "more-links"))), "components")
 
@@ -373,5 +373,5 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: st
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without all of each component but those with its least doc_id, with the columns as they were."""
     gone = written(similar_documents(docs, n, percent, doc_id, text).filter(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("_gone")), "near")
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    gone = sized(gone, BROADCAST_IDS)
     return docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")

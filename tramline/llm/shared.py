@@ -36,6 +36,17 @@ def release(spark: SparkSession) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+#: Up to so many bytes of text and binary, a table is broadcast.
+BROADCAST_BYTES = 128 << 20
+
+
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """df, with a broadcast hint if it has so many rows at most and its text and binary columns are within BROADCAST_BYTES."""
+    wide = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    found = df.agg(F.count(F.lit(1)).alias("n"), sum(wide, F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if found["n"] <= rows and found["bytes"] <= BROADCAST_BYTES else df
+
+
 def partitions(spark: SparkSession) -> int:
     """Partitions of a shuffle, as the cluster's settings have it; they follow the input, not this machine."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

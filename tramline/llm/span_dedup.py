@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import sized, written
 from .text import SPACED, U, Words, chunks, mix, powers
 
 #: Sentences and words that a run has at least; words after which a sentence is cut.
@@ -122,11 +122,10 @@ def remove_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS
     kind = docs.schema[doc_id].dataType.simpleString()
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("sid"), F.col(text).alias("text"))
     runs = docs.mapInArrow(_runs(size), f"h long, doc_id {kind}, sid long, first int, last int")
-    limited = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
     own = F.struct("doc_id", "sid", "first")
     again = runs.groupBy("h").agg(F.min(own).alias("origin"), F.max(own).alias("other")).filter(~F.col("origin").eqNullSafe(F.col("other"))).select("h", "origin")
     again = written(again, "repeated-runs")
     later = runs.join(again, "h").filter(~own.eqNullSafe(F.col("origin"))).select("doc_id", "sid", "first", "last").distinct()
     spans = written(later.groupBy("doc_id", "sid").applyInArrow(_pack, f"d {kind}, s long, spans binary"), "spans")
-    out = docs.join(limited(spans), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("sid") == F.col("s")), "left").select("doc_id", "text", "spans")
+    out = docs.join(sized(spans, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("sid") == F.col("s")), "left").select("doc_id", "text", "spans")
     return out.mapInArrow(_cut(size), f"doc_id {kind}, n_sentences long, n_removed long, text string").withColumnRenamed("doc_id", doc_id)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import partitions, written
+from .shared import partitions, sized, written
 from .suffix_array import suffix_array
 from .text import _BYTE, U, chunks, mix, powers
 
@@ -260,7 +260,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
     spark = docs.sparkSession
     owners = partitions(spark)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("sid"))
-    limited = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    limited = lambda df: sized(df, BROADCAST_ROWS)
 
     contexts = written(docs.select("sid", "text").mapInArrow(_anchors(length), "sid long, anchor long, first long, last long, key long, context long"), "contexts")
     each = contexts.groupBy("key", "context").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("sid", "anchor")).alias("at"))
