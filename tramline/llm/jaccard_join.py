@@ -36,7 +36,9 @@ ORDER_SHINGLES = 2_000_000
 #: Up to so many ids of documents are broadcast to pick their rows; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Shingles that a task holds before it sends them.
-HELD = 1_000_000
+HELD = 500_000
+#: Owners of hash ranges for each partition of a shuffle; a task takes its owners one after the other.
+OWNERS = 4
 #: Times what similar sets share at least: so much makes a set join another. It decides on groups, not on links.
 JOINS = 1
 #: Sets in a block, on average, and common shingles that are counted at once.
@@ -319,7 +321,7 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: st
     all-null component gets null). An empty table gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
-    owners = partitions(spark)
+    owners = partitions(spark) * OWNERS
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     described = written(docs.mapInArrow(_documents(n), f"doc_id {kind}, n_shingles long, set long"), "sets")
