@@ -223,6 +223,65 @@ def test_spans_of_odd_tables(odd, empty):
     assert got == {(None, 1, 0): 1, (None, 0, 0): 1, (None, 10, 0): 1, (5, 10, 10): 2, (5, 1, 0): 1, (6, 10, 10): 1, (7, 0, 0): 1}
 
 
+def word_hashes(words):
+    import pyarrow as pa
+
+    for _, _, data, at in chunks(pa.array([b" ".join(words).decode()])):
+        return Words(data, at, SPACED).hashes.tolist()
+
+
+def split_by_content(text, longest=12):
+    out = []
+    for s in split(text, 1 << 30):
+        cuts = set()
+        if len(s) > longest:
+            h = word_hashes(s)
+            cuts = {min(range(i, i + longest), key=lambda k: (h[k], -k)) + 1 for i in range(len(s) - longest + 1)}
+        edges = sorted(cuts | {0, len(s)})
+        out += [s[a:b] for a, b in zip(edges, edges[1:])]
+    return out
+
+
+def brute_content_spans(rows, sentences=3, words=25):
+    where = collections.defaultdict(set)
+    parts = {d: split_by_content(t) for d, t in rows}
+    for d, s in parts.items():
+        ok = lambda i, j: j - i >= sentences and sum(map(len, s[i:j])) >= words
+        for i in range(len(s)):
+            runs = [next(((i, j) for j in range(i + sentences, len(s) + 1) if ok(i, j)), None), next(((k, i + 1) for k in range(i, -1, -1) if ok(k, i + 1)), None)]
+            for a, b in filter(None, runs):
+                where[b" ".join(sum(s[a:b], []))].add((d, a, b))
+    gone = collections.defaultdict(set)
+    for places in where.values():
+        for d, i, j in sorted(places)[1:]:
+            gone[d] |= set(range(i, j))
+    return sorted((d, len(s), len(gone[d]), b" ".join(w for i, x in enumerate(s) if i not in gone[d] for w in x)) for d, s in parts.items())
+
+
+def test_spans_by_content(docs):
+    out = span_dedup.remove_spans(docs.filter("text is null or length(text) < 20000"), by_content=True).collect()
+    got = sorted((r["doc_id"], r["n_sentences"], r["n_removed"], b" ".join(r["text"].encode().translate(LOWER).split())) for r in out)
+    assert got == brute_content_spans([(d, t) for d, t in pairs(docs) if len(t) < 20_000])
+
+
+def test_passages_without_stops_are_found_at_any_offset(spark, tmp_path):
+    """Passages of 50 and more words behind and before other words without a stop; real sentences of odd lengths, to the last one."""
+    rows, keep = [], {}
+    for k in range(60):
+        passage = [f"p{k}x{i}" for i in range(50 + k % 30)]
+        rows += [(10 * k + c, " ".join([f"b{k}y{c}z{i}" for i in range(5 * c + k % 12)] + passage + [f"a{k}y{c}z{i}" for i in range(7 * c + 1)])) for c in (0, 1)]
+        keep[10 * k + 1] = set(passage)
+    lengths = [[12, 12, 4, 8], [9, 11, 5, 3, 6, 10], [8, 9, 9, 2]]
+    for k, sizes in enumerate(lengths):
+        passage = " ".join(" ".join(f"s{k}x{i}y{j}" for j in range(n)) + "." for i, n in enumerate(sizes))
+        rows += [(1000 + 10 * k + c, f"Head of {k} in {c}. {passage} Some other end of {k} in {c} here.") for c in (0, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r["doc_id"]: r["text"].split() for r in queries.op4_span_dedup(spark, str(tmp_path)).collect()}
+    assert all(out[d] == t.split() for d, t in rows if d % 10 == 0)
+    assert all(len(words & set(out[d])) < 24 for d, words in keep.items())
+    assert all(out[1001 + 10 * k] == f"Head of {k} in 1. Some other end of {k} in 1 here.".split() for k in range(3))
+
+
 # LM scoring
 
 

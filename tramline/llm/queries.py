@@ -44,7 +44,7 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return span_dedup.remove_spans(_table(spark, sf_dir, "documents"))
+    return span_dedup.remove_spans(_table(spark, sf_dir, "documents"), by_content=True)
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
