@@ -415,6 +415,29 @@ def test_cheapest_segmentation():
         assert vocabulary.one(w) == best(w)[1]
 
 
+def test_long_pieces_and_long_pre_tokens(spark, monkeypatch):
+    """Rule lines, of which the vocabulary has pieces of up to 128 bytes, against all segmentations; a count beyond the count bits."""
+    import public_tokenizers as P
+
+    ranks = queries.tokenizer_files()[0]
+    vocabulary = token_counts.Vocabulary(ranks)
+    assert max(map(len, vocabulary.costs)) == 128 and vocabulary.one(b"-" * 64) == 1
+
+    def best(word):
+        out = [(0, 0)]
+        for d in range(1, len(word) + 1):
+            out.append(min((out[a][0] + (c >> 20), out[a][1] + 1) for a in range(d) if (c := vocabulary.costs.get(word[a:d])) is not None))
+        return out[-1][1]
+
+    lines = [c * n for c in "-=_.*~# " for n in (49, 64, 80, 127, 128, 129, 200)]
+    assert [vocabulary.one(x.encode()) for x in lines] == [best(x.encode()) for x in lines]
+    rules = [x for x in lines if x.strip()]
+    out = {r["doc_id"]: (r["n_pretokens"], r["n_tokens"]) for r in token_counts.token_counts(spark.createDataFrame(list(enumerate(rules)), "doc_id int, text string"), ranks, P.PATTERN).collect()}
+    assert out == {i: (1, best(x.encode())) for i, x in enumerate(rules)}
+    monkeypatch.setattr(token_counts, "_COUNT_BITS", 4)
+    assert token_counts.Vocabulary(ranks).one(b"\x00\x01" * 40) == vocabulary.one(b"\x00\x01" * 40) > 15
+
+
 # exact deduplication
 
 

@@ -29,7 +29,8 @@ class Vocabulary:
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.costs = {p: (round(4096 * math.log(r + 2)) << _COUNT_BITS) + 1 for p, r in ranks.items()}
-        self.longest = min(WIDTH, max(map(len, ranks)))
+        self.wide = {p: ((c >> _COUNT_BITS) << 64) + 1 for p, c in self.costs.items()}
+        self.lengths = sorted({len(p) for p in ranks})
         up, down = powers(WIDTH + 1)
         rows = [(self._hash(p), c) for p, c in self.costs.items() if len(p) <= WIDTH]
         rows.sort()
@@ -44,14 +45,16 @@ class Vocabulary:
         return int(mix(np.array([(_BYTE[data] * up[: len(data)]).sum(dtype=U) + U(len(data))]))[0])
 
     def one(self, word: bytes) -> int:
-        """Pieces of a pre-token, by itself."""
+        """Pieces of a pre-token of any length, by itself, by pieces of any length."""
         best = [0] + [-1] * len(word)
         for d in range(1, len(word) + 1):
-            for n in range(1, min(d, self.longest) + 1):
-                cost = self.costs.get(word[d - n : d])
+            for n in self.lengths:
+                if n > d:
+                    break
+                cost = self.wide.get(word[d - n : d])
                 if cost is not None and best[d - n] >= 0 and (best[d] < 0 or best[d - n] + cost < best[d]):
                     best[d] = best[d - n] + cost
-        return best[-1] & ((1 << _COUNT_BITS) - 1)
+        return best[-1] & ((1 << 64) - 1)
 
     def trie(self, words: list[bytes]) -> np.ndarray:
         """Pieces of each of sorted, distinct pre-tokens of 1 to WIDTH bytes."""
@@ -73,7 +76,7 @@ class Vocabulary:
             alive = np.flatnonzero(size >= d)
             node = alive[shared[alive] < d]  # the first word of each node of this depth
             score = np.full(len(node), huge, dtype=np.int64)
-            for k in range(1, min(d, self.longest) + 1):
+            for k in range(1, d + 1):
                 h = mix((sums[node, d] - sums[node, d - k]) * down[d - k] + U(k))
                 at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
                 known = self.keys[at] == h
@@ -126,7 +129,7 @@ def _count(ranks_path: str, pattern: str):
 def token_counts(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, n_pretokens, n_tokens (pieces of the cheapest segmentation of its pre-tokens).
 
-    The vocabulary is a public one, with every byte a piece, so every text can be written. Nothing is shuffled: what
+    The vocabulary is a public one, with every byte a piece, so every text can be written; no piece is too long to be used. Nothing is shuffled: what
     tasks share is the vocabulary. A null or empty text has no tokens; null and repeated doc_ids are carried along;
     an empty table gives an empty result; other columns are not read.
     """
