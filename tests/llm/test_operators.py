@@ -335,6 +335,40 @@ def test_lm_prefers_text_like_the_corpus(spark):
     assert sum(got[i] > got[100 + i] for i in range(30)) >= 28
 
 
+@pytest.mark.parametrize("block", [lm_scoring.BLOCK, 50])
+def test_lm_scores_are_of_words(spark, docs, odd, empty, monkeypatch, block):
+    """The network's score of classes and, by counts over all texts, each word's share of its class; a table that grows with the words."""
+    monkeypatch.setattr(lm_scoring, "BLOCK", block)
+    flat, counted = lm_scoring.initial(), lm_scoring.words(docs)
+    n = collections.Counter(w for _, t in pairs(docs) for w in plain_words(t))
+    assert counted.count() == len(n) and sorted(r["n"] for r in counted.collect()) == sorted(n.values())
+    symbol = dict(zip(n, (Words(*next(chunks(__import__("pyarrow").array([b" ".join(n).decode()])))[2:], lm_scoring.LETTERS).hashes >> np.uint64(52)).tolist()))
+    total = collections.Counter()
+    for w in n:
+        total[symbol[w]] += n[w]
+    classes = {r["doc_id"]: r["log_likelihood"] for r in lm_scoring.score(docs, flat).collect()}
+    rows = {r["doc_id"]: r for r in lm_scoring.score(docs, flat, counted=counted).collect()}
+    assert len(rows) == len(classes)
+    for d, t in pairs(docs):
+        words = plain_words(t)
+        assert rows[d]["n_words"] == len(words)
+        want = classes[d] + sum(math.log(n[w] / (total[symbol[w]] + 1)) for w in words)
+        assert math.isclose(rows[d]["log_likelihood"], want, rel_tol=1e-6, abs_tol=1e-6)
+    assert lm_scoring.score(empty, flat, counted=lm_scoring.words(empty)).count() == 0
+    assert lm_scoring.score(odd, flat, counted=counted).count() == lm_scoring.score(odd, flat, counted=lm_scoring.words(empty)).count() == 8
+
+
+def test_rare_words_score_below_common_ones_of_their_class(spark, tmp_path):
+    by_symbol = collections.defaultdict(list)
+    for i in range(9000):
+        by_symbol[int(Words(np.frombuffer(f"w{i}".encode(), np.uint8), np.array([0, len(f"w{i}")]), lm_scoring.LETTERS).hashes[0] >> np.uint64(52))].append(f"w{i}")
+    common, rare = next(x for x in by_symbol.values() if len(x) > 1)[:2]
+    rows = [(i, f"the {common} is here") for i in range(99)] + [(99, f"the {rare} is here")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["log_likelihood"] for r in queries.op5_lm_scoring(spark, str(tmp_path)).collect()}
+    assert math.isclose(got[0] - got[99], math.log(99), rel_tol=1e-3)
+
+
 # benchmark decontamination
 
 

@@ -1,8 +1,10 @@
-"""Pseudo-likelihood of documents under a bidirectional window network, trained in numpy.
+"""Pseudo-likelihood of documents under a bidirectional window network, trained in numpy, and counts of words.
 
-The network predicts each word from the words on both sides of it; the word itself is masked. Each partition trains
+The network predicts the class of each word from the words on both sides of it; the word itself is masked. A word of
+a class has the probability that the counts over the whole corpus give it, in a table that grows with the corpus. Each partition trains
 a copy on its rows, and the copies are averaged, weighted by their words; the documents are dealt over a few rounds, so training passes once
-over all of them. A document's score is the sum of the log-probabilities of its words.
+over all of them. A document's score is the sum of the log-probabilities of its words:
+that of the class given both sides, and that of the word given the class.
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ from .text import LETTERS, U, Words, chunks
 #: Words are hashed to CLASSES * CLASSES symbols, predicted as two classes, the second given the first.
 CLASSES = 64
 #: Words on each side, size of the hidden layer, rounds, words in a step, learning rate.
-SIDE, HIDDEN, ROUNDS, STEP, RATE = 2, 16, 2, 4096, 0.15
+SIDE, HIDDEN, ROUNDS, STEP, RATE = 2, 24, 2, 4096, 0.15
+#: Words that are counted or scored together, about; each distinct one of them is joined once.
+BLOCK = 1_500_000
 #: Rows that an average takes at once, and parts that the parameters travel in.
 FAN_IN, PARTS = 256, 16
 _OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
@@ -45,7 +49,10 @@ def unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 def symbols(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the words of a chunk: symbols, symbols around each (one column per offset), rows."""
-    w = Words(data, at, LETTERS)
+    return _symbols(Words(data, at, LETTERS))
+
+
+def _symbols(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = (w.hashes >> U(52)).astype(np.int64) % _NONE
     around = np.full((len(ids), len(_OFFSETS)), _NONE, dtype=np.int64)
     for c, o in enumerate(_OFFSETS):
@@ -88,7 +95,7 @@ def learn(p: dict, squares: dict, ids: np.ndarray, around: np.ndarray) -> None:
         squares[name] += g * g
         p[name] -= RATE * g / np.sqrt(squares[name])
     for c in range(around.shape[1]):
-        order = np.argsort(around[:, c], kind="stable")
+        order = np.argsort(around[:, c].astype(np.int16), kind="stable")  # by radix
         where = around[order, c]
         at = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
         g, hit = np.add.reduceat(back[order], at, axis=0), where[at]
@@ -148,28 +155,116 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> np.nda
     return flat
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+
+    def flush() -> pa.RecordBatch:
+        words, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+    for batch in batches:
+        for _, _, data, at in chunks(batch.column(0)):
+            held.append(Words(data, at, LETTERS).hashes)
+            size += len(held[-1])
+            if size >= BLOCK:
+                yield flush()
+                held, size = [], 0
+    if size:
+        yield flush()
+
+
+def words(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The distinct words of all texts (h, a 64-bit hash) and how often each occurs (n)."""
+    return written(docs.select(text).mapInArrow(_count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
+
+
 def _score(flat):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = unpack(flat.value)
         for batch in batches:
             counts, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
-            for i, j, data, at in chunks(batch.column(1)):
-                ids, around, row = symbols(data, at)
-                log = [forward(p, ids[a : a + STEP], around[a : a + STEP])[3] for a in range(0, len(ids), STEP)]
-                counts.append(np.bincount(row, minlength=j - i))
-                sums.append(np.bincount(row, weights=np.concatenate(log), minlength=j - i) if log else np.zeros(j - i))
+            for _, _, n, total, _ in _scored(p, batch.column(1)):
+                counts.append(n)
+                sums.append(total)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(counts).astype(np.int64)), pa.array(np.concatenate(sums).astype(np.float64))], names=["doc_id", "n_words", "log_likelihood"])
 
     return score
 
 
-def score(docs: DataFrame, flat: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _scored(p: dict, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of runs of rows: first row, row after the last, words of each, sum of the log-probabilities of their classes, hashes of all words."""
+    for i, j, data, at in chunks(column):
+        w = Words(data, at, LETTERS)
+        ids, around, row = _symbols(w)
+        log = [forward(p, ids[a : a + STEP], around[a : a + STEP])[3] for a in range(0, len(ids), STEP)]
+        yield i, j, np.bincount(row, minlength=j - i), np.bincount(row, weights=np.concatenate(log), minlength=j - i) if log else np.zeros(j - i), w.hashes
+
+
+def _blocks(flat):
+    """(doc_id, text) to blocks of documents: their ids, words and sums, the distinct words, and the place of every word among these."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p, made, held, size = unpack(flat.value), 0, [], 0
+        first = TaskContext.get().partitionId() << 31
+
+        def flush() -> pa.RecordBatch:
+            distinct, place = np.unique(np.concatenate([x[3] for x in held]), return_inverse=True)
+            lists = [pa.concat_arrays([x[0] for x in held]), pa.array(np.concatenate([x[1] for x in held]).astype(np.int64)), pa.array(np.concatenate([x[2] for x in held]).astype(np.float64))]
+            columns = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([first + made], pa.int64()), *columns, pa.array([distinct.tobytes()], pa.binary()), pa.array([place.astype("<u4").tobytes()], pa.binary())], names=["block", "doc_ids", "counts", "sums", "words", "places"]
+            )
+
+        for batch in batches:
+            for i, j, counts, sums, hashes in _scored(p, batch.column(1)):
+                held.append((batch.column(0).slice(i, j - i), counts, sums, hashes))
+                size += len(hashes) + j - i
+                if size >= BLOCK:
+                    yield flush()
+                    made, held, size = made + 1, [], 0
+        if held:
+            yield flush()
+
+    return blocks
+
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block, packed in zip(batch.column(0), batch.column(1)):
+            h = np.frombuffer(packed.as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), block.as_py(), np.int64)), pa.array(np.arange(len(h), dtype=np.int32)), pa.array(h)], names=["block", "place", "h"])
+
+
+def _add(blocks: pa.Table, logs: pa.Table) -> pa.Table:
+    log = np.zeros(len(logs))
+    log[logs.column("place").to_numpy()] = logs.column("log").to_numpy()
+    ids, counts, sums = (blocks.column(c).combine_chunks().flatten() for c in ("doc_ids", "counts", "sums"))
+    places = np.frombuffer(blocks.column("places")[0].as_py(), "<u4")
+    row = np.repeat(np.arange(len(ids)), counts.to_numpy())
+    total = sums.to_numpy() + np.bincount(row, weights=log[places], minlength=len(ids))
+    return pa.table({"doc_id": ids, "n_words": counts, "log_likelihood": pa.array(total)})
+
+
+def score(docs: DataFrame, flat: np.ndarray, doc_id: str = "doc_id", text: str = "text", counted: DataFrame | None = None) -> DataFrame:
     """Per document: doc_id, n_words, log_likelihood (sum of natural logarithms), per_word (its mean; null without words).
 
+    `counted` is a table of words() and gives each word its probability within its class: of the n words of the class
+    that were counted, and one more, which stands for all words that were not. Without it, a score is of classes only.
     A null or empty text has no words and the sum 0; null and repeated doc_ids are carried along; an empty table
     gives an empty result; other columns are not read.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     model = docs.sparkSession.sparkContext.broadcast(flat)
-    out = docs.select(doc_id, text).mapInArrow(_score(model), f"doc_id {kind}, n_words long, log_likelihood double")
+    docs = docs.select(doc_id, text)
+    schema = f"doc_id {kind}, n_words long, log_likelihood double"
+    if counted is None:
+        out = docs.mapInArrow(_score(model), schema)
+    else:
+        made = docs.mapInArrow(_blocks(model), f"block long, doc_ids array<{kind}>, counts array<long>, sums array<double>, words binary, places binary")
+        blocks = written(made, "scored")
+        symbol = F.shiftrightunsigned("h", 52) % _NONE
+        totals = counted.groupBy(symbol.alias("symbol")).agg(F.sum("n").alias("total"))  # _NONE rows at most
+        logs = blocks.select("block", "words").mapInArrow(_distinct, "block long, place int, h long").join(counted, "h", "left").withColumn("symbol", symbol).join(F.broadcast(totals), "symbol", "left")
+        logs = logs.select("block", "place", F.log(F.coalesce("n", F.lit(1)) / (F.coalesce("total", F.lit(0)) + 1)).alias("log"))
+        out = blocks.drop("words").groupBy("block").cogroup(logs.groupBy("block")).applyInArrow(_add, schema)
     return out.withColumn("per_word", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))).withColumnRenamed("doc_id", doc_id)
