@@ -113,7 +113,22 @@ def test_jaccard_join_of_odd_tables(odd, empty):
 def test_keep_one_of_near_copies(docs):
     kept = jaccard_join.keep_one(docs)
     want = {int(d) for d, _, c in brute_components(pairs(docs)) if d == c}
-    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == want
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
+
+
+def test_keep_one_removes_rows_not_ids(spark, odd, empty):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(5, a, 1), (5, b, 2), (3, b, 3), (3, b, 4), (9, b.upper() + "  c", 5), (None, a + " x", 6), (None, "odd one out", 7), (8, None, 8), (8, None, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _gone int")
+    for part in (rows, rows[:3]):
+        out = jaccard_join.keep_one(df.filter(F.col("_gone").isin([r[2] for r in part])))
+        want = [1, 4, 7, 8, 9] if len(part) > 3 else [1, 3]
+        assert out.columns == df.columns and sorted(r["_gone"] for r in out.collect()) == want
+    tie = spark.createDataFrame([(1, b), (1, b + " c"), (1, b + " d")], "doc_id long, text string")
+    assert jaccard_join.keep_one(tie).count() == 1
+    assert jaccard_join.keep_one(empty).count() == 0
+    kept = jaccard_join.keep_one(odd)
+    assert sorted((str(r["doc_id"]), (r["text"] or "")[:5]) for r in kept.collect()) == [("5", "other"), ("5", "w0 w1"), ("7", ""), ("None", ""), ("None", "a b c")]
 
 
 def test_grams_match_words():
@@ -160,11 +175,31 @@ def brute_repeats(rows, length=400):
 @pytest.mark.parametrize("hot", [suffix_dedup.HOT_CONTEXTS, 1])
 def test_repeats_are_removed_byte_for_byte(docs, hot):
     docs = docs.filter(F.length("text") < 20_000).unionByName(docs.filter("text is null"))
-    out = suffix_dedup.remove_repeats(docs, hot=hot).collect()
+    out = suffix_dedup.remove_repeats(docs, hot=hot).drop("pieces").collect()
     got = sorted((str(r["doc_id"]), r["n_bytes"], sum(s["end"] - s["start"] for s in r["removed"]), len(r["removed"]), hashlib.sha256(r["kept"]).hexdigest()) for r in out)
     assert got == brute_repeats(pairs(docs))
 
 
+def test_pieces_tell_of_shorter_passages(spark):
+    rng = np.random.default_rng(8)
+    own = lambda n: " ".join(str(x) for x in rng.integers(0, 10**9, n))
+    shared = own(36)[:340]
+    rows = [(i, f"{own(90)} {shared if i < 6 else own(34)} {own(90)}") for i in range(12)]
+    out = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(not r["removed"] for r in out.values()) and not any(out[i]["pieces"] for i in range(6, 12))
+    found = [out[i]["pieces"] for i in range(6)]
+    assert sum(n > 0 for n in found) in (0, 2, 3, 4, 5, 6) and len(set(found)) <= 3
+
+
+def test_repeats_in_very_long_texts(spark):
+    rng = np.random.default_rng(9)
+    long = "".join(map(chr, rng.integers(97, 123, 600_000)))
+    rows = [(1, long), (2, "x" * 100 + long[300_000:300_500] + "y" * 1_000_000), (3, "ab" * 200_000)]
+    out = {r["doc_id"]: r["removed"] for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    spans = {d: [(s["start"], s["end"]) for s in x] for d, x in out.items()}
+    assert spans == {1: [(300_000, 300_500)], 2: [(100, 600 + 1_000_000)], 3: [(0, 400_000)]}
+
+
 def test_repeats_in_odd_tables(odd, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
     got = sorted((str(r["doc_id"]), len(r["kept"])) for r in suffix_dedup.remove_repeats(odd).collect())
@@ -395,26 +430,47 @@ def brute_hits(rows, items, n=10):
     return sorted(out)
 
 
-@pytest.mark.parametrize("plan_windows", [decontamination.PLAN_WINDOWS, 3])
-def test_decontamination(spark, docs, texts, plan_windows):
+@pytest.fixture(params=["broadcast", "shuffle"])
+def way(request, spark, monkeypatch):
+    """Joins of benchmark windows and of hits, by broadcast and by shuffle."""
+    if request.param == "shuffle":
+        monkeypatch.setattr(decontamination, "BROADCAST_ROWS", -1)
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        yield
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    else:
+        yield
+
+
+def test_decontamination(spark, docs, texts, way):
     w = texts[2].split() + texts[3].split()
-    items = [(1, " ".join(w[:14]).upper()), (2, "«" + "-".join(w[6:17]) + "»"), (3, "ONE, two!"), (3, None), (10, ""), (12, "never seen before in any of these documents at all"), (None, " ".join(w[20:31]))]
+    items = [(1, " ".join(w[:14]).upper()), (2, "«" + "-".join(w[6:17]) + "»"), (3, "ONE, two!"), (3, None), (10, ""), (12, "never seen before in any of these documents at all"), (None, " ".join(w[20:31])), (13, "word " * 12)]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    few = docs.filter(F.coalesce(F.length("text"), F.lit(0)) < 20_000)
-    out = decontamination.scan(few, bench, plan_windows=plan_windows)
+    out = decontamination.scan(docs, bench)
     got = sorted((str(r["doc_id"]), r["_n_words"], r["_n_hit"], list(r["_items"])) for r in out.collect())
-    want = [(d, n, h, [x for x in ids if x != "None"]) for d, n, h, ids in brute_hits(pairs(few), [(i, (t or "").encode()) for i, t in items])]
-    assert got == want and any(h for _, _, h, _ in got)
-    assert sorted(r["doc_id"] for r in decontamination.clean(few, bench).collect()) == sorted(int(d) for d, _, h, _ in got if not h)
+    want = [(d, n, h, [x for x in ids if x != "None"]) for d, n, h, ids in brute_hits(pairs(docs), [(i, (t or "").encode()) for i, t in items])]
+    assert got == want and any(h for _, _, h, _ in got) and max(n for _, n, *_ in got) == 30_000
+    assert sorted(r["doc_id"] for r in decontamination.clean(docs, bench).collect()) == sorted(int(d) for d, _, h, _ in got if not h)
+
+
+@pytest.mark.parametrize("ids, kind", [(["a,b", "a", "line\nbreak", "", " x "], "string"), ([0.5, 1e9, 2.0], "double"), ([7, 11, 9], "int")])
+def test_item_ids_are_kept_as_they_are(spark, way, ids, kind):
+    """Also ids with commas and line breaks, and empty ones."""
+    text = " ".join(f"w{i}" for i in range(40))
+    bench = spark.createDataFrame([(x, " ".join(f"w{i}" for i in range(k, k + 11))) for k, x in enumerate(ids)], f"item_id {kind}, text string")
+    want = sorted(r[0] for r in bench.selectExpr("cast(item_id as string)").collect())
+    one, none = decontamination.scan(spark.createDataFrame([(1, text), (2, "w1 w2")], "doc_id long, text string"), bench).orderBy("doc_id").collect()
+    assert one["_items"] == want and one["_n_hit"] == 10 + len(ids) and none["_items"] == [] and none["_n_hit"] == 0
 
 
-def test_decontamination_of_odd_tables(spark, odd, empty):
+def test_decontamination_of_odd_tables(spark, odd, empty, way):
     bench = spark.createDataFrame([(1, "w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13")], "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
-    assert decontamination.scan(empty, bench).count() == 0
-    assert [r["_n_hit"] for r in decontamination.scan(odd, none).collect()] == [0] * 8
-    for limit in (decontamination.PLAN_WINDOWS, 0):
-        assert sorted(r["_n_hit"] for r in decontamination.scan(odd, bench, plan_windows=limit).collect()) == [0] * 4 + [11] * 4
+    assert decontamination.scan(empty, bench).count() == decontamination.clean(empty, bench).count() == 0
+    assert [r["_n_hit"] for r in decontamination.scan(odd, none).collect()] == [0] * 8 and decontamination.clean(odd, none).count() == 8
+    assert sorted(r["_n_hit"] for r in decontamination.scan(odd, bench).collect()) == [0] * 4 + [11] * 4
+    assert sorted(str(r["doc_id"]) for r in decontamination.clean(odd, bench).collect()) == ["5", "7", "None", "None"]
 
 
 # token counts

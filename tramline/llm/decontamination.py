@@ -1,7 +1,8 @@
-"""Benchmark decontamination: a hash set of normalised test n-grams against every window of every document.
+"""Benchmark decontamination: a broadcast hash set of normalised test n-grams against every window of every document.
 
-DataFrame and SQL functions only. A set of bounded size goes with the plan as an IN list, which Spark makes a hash
-set, so documents are scanned once and nothing is shuffled; a larger one is joined by hash.
+DataFrame and SQL functions only. Each word is hashed once; a window's hash is that of its words' hashes, made row by
+row in generated code behind an explode, and looked up. Documents with hits are read again and compared word by word;
+what the hits say of a document goes back to it.
 """
 
 from __future__ import annotations
@@ -9,20 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import packed, unpacked
+from .shared import packed, sized, unpacked, written
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: Up to so many distinct windows go with the plan; more are joined.
-PLAN_WINDOWS = 30_000
-#: Up to so many windows the joined set is broadcast; more are joined by a shuffle.
-BROADCAST_WINDOWS = 1_000_000
+#: Up to so many windows (8 bytes each), or documents with hits, are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def words(text: Column) -> Column:
     """Words of letters, digits and non-ASCII characters, A-Z as a-z; null has none."""
-    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), _BETWEEN), lambda w: w != "")
+    text = F.coalesce(text, F.lit(""))
+    ascii_only = F.octet_length(text) == F.length(text)  # then lower() is the same, and faster
+    return F.array_remove(F.split(F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER)), _BETWEEN), "")
 
 
 def _let(value: Column, body) -> Column:
@@ -30,96 +31,88 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _starts(w: Column, n: int) -> Column:
-    return F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(F.array().cast("array<int>"))
+def _hash(hashes: Column, start: Column, n: int) -> Column:
+    """Of n words from `start` (counted from 0)."""
+    return F.xxhash64(F.lit(n), *[F.get(hashes, start + k) for k in range(n)])
 
 
 def windows(benchmark: DataFrame, n: int = 10, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """The distinct windows of the items: words, length, hash k, items (distinct ids). A short item is one window."""
-    rows = benchmark.select(F.col(item_id).alias("item"), words(F.col(text)).alias("w")).filter(F.size("w") > 0)
+    """The distinct windows of the items: window (its words, parted by spaces), length, hash k, items (distinct ids as
+    text). An item of fewer words, but not none, is one window."""
+    rows = benchmark.select(F.col(item_id).cast("string").alias("item"), words(F.col(text)).alias("w")).filter(F.size("w") > 0)
     length = F.least(F.size("w"), F.lit(n))
     rows = rows.select("item", length.alias("length"), "w", F.explode(F.sequence(F.lit(1), F.size("w") - length + 1)).alias("i"))
-    rows = rows.select("item", "length", F.slice("w", F.col("i"), F.col("length")).alias("words"))
-    return rows.groupBy("words", "length").agg(F.collect_set("item").alias("items")).withColumn("k", F.xxhash64("words"))
-
-
-def _finish(docs: DataFrame, n_words: Column, hits: Column) -> DataFrame:
-    """hits: an array of (i, length, items), all verified."""
+    rows = rows.select("item", "length", F.slice("w", F.col("i"), F.col("length")).alias("w"))
+    rows = rows.groupBy("w", "length").agg(F.collect_set("item").alias("items"))
+    hashes = F.transform("w", lambda x: F.xxhash64(x))
+    k = F.coalesce(*[F.when(F.col("length") == m, _hash(hashes, F.lit(0), m)) for m in range(1, n + 1)])
+    return rows.select(F.array_join("w", " ").alias("window"), "length", k.alias("k"), "items")
+
+
+def _near(docs: DataFrame, table: DataFrame, lengths: list[int], doc_id: str, text: str) -> DataFrame:
+    """Of documents with a hit by hash: id, hash (of the text), near (a set of i, length, window, items)."""
+    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("hash"), words(F.col(text)).alias("w"))
+    rows = rows.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
+    starts = F.when(F.size("h") >= min(lengths), F.sequence(F.lit(0), F.size("h") - min(lengths)))
+    rows = rows.select("id", "hash", "h", F.explode(starts).alias("i"))
+    of = lambda n: F.when(F.col("i") + n <= F.size("h"), _hash(F.col("h"), F.col("i"), n))
+    if len(lengths) == 1:
+        rows = rows.select("id", "hash", "i", of(lengths[0]).alias("k"))
+    else:
+        rows = rows.select("id", "hash", "i", F.explode(F.array(*[of(n) for n in lengths])).alias("k"))
+    near = rows.join(sized(table.select("k").distinct(), BROADCAST_ROWS), "k", "left_semi")
+    near = near.withColumn("i", F.col("i") + 1).join(sized(table, BROADCAST_ROWS), "k")
+    return near.groupBy("id", "hash").agg(F.collect_set(F.struct("i", "length", "window", "items")).alias("near"))
+
+
+def _covered(found: Column) -> Column:
+    """Words inside of sorted hits."""
     zero = F.struct(F.lit(1).alias("end"), F.lit(0).cast("long").alias("n"))
     step = lambda a, h: F.struct(
         F.greatest(a["end"], h["i"] + h["length"]).alias("end"), (a["n"] + F.greatest(F.lit(0), h["i"] + h["length"] - F.greatest(a["end"], h["i"]))).alias("n")
     )
-    out = docs.withColumn("found", F.array_sort(hits))
-    items = F.array_sort(F.array_distinct(F.transform(F.flatten(F.col("found.items")), lambda x: x.cast("string"))))
+    return F.aggregate(found, zero, step, lambda a: a["n"])
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, n: int, doc_id: str, text: str) -> DataFrame | None:
+    """A row per document with hits, by id and hash: n_hit, items, hits. None if the items have no words."""
+    table = written(windows(benchmark, n), "windows")
+    lengths = sorted(r["length"] for r in table.select("length").distinct().collect())  # n of them at most
+    if not lengths:
+        return None
+    near = sized(written(_near(docs, table, lengths, doc_id, text), "near"), BROADCAST_ROWS)
+    rows = packed(docs).join(near, _same(doc_id, text))
+    verified = lambda w: F.filter("near", lambda h: F.array_join(F.slice(w, h["i"], h["length"]), " ") == h["window"])  # noqa: E731  word by word
+    found = rows.select("id", "hash", F.array_sort(_let(words(F.col("row")[text]), verified)).alias("found")).filter(F.size("found") > 0).dropDuplicates(["id", "hash"])
+    items = F.array_sort(F.array_distinct(F.flatten(F.col("found.items"))))
     places = F.transform("found", lambda h: F.struct(h["i"].alias("i"), h["length"].alias("length")))
-    return out.select("row", n_words.cast("long").alias("n_words"), F.aggregate("found", zero, step, lambda a: a["n"]).alias("n_hit"), items.alias("items"), places.alias("hits"))
-
-
-def _by_plan(docs: DataFrame, found: list, text: str) -> DataFrame:
-    kinds = sorted({r["length"] for r in found})
-    at = {r["k"]: p for p, r in enumerate(found, 1)}
-    keys = F.expr("cast(split('" + ",".join(map(str, at)) + "', ',') as array<bigint>)")
-    texts = F.split(F.lit("\n".join(" ".join(r["words"]) for r in found)), "\n")
-    items = F.transform(F.split(F.lit("\n".join(",".join(str(x) for x in r["items"]) for r in found)), "\n"), lambda x: F.filter(F.split(x, ","), lambda i: i != ""))
-
-    def occurrences(w: Column, n: int) -> Column:
-        of_n = [r["k"] for r in found if r["length"] == n]
-        hashed = lambda i: F.xxhash64(F.slice(w, i, n))
-        near = F.filter(_starts(w, n), lambda i: hashed(i).isin(of_n))
-        rows = F.transform(near, lambda i: F.struct(i.alias("i"), F.lit(n).alias("length"), F.array_position(keys, hashed(i)).cast("int").alias("p")))
-        return F.filter(rows, lambda h: F.array_join(F.slice(w, h["i"], n), " ") == F.element_at(texts, h["p"]))
-
-    def of(w: Column) -> Column:
-        hits = F.transform(F.concat(*[occurrences(w, n) for n in kinds]), lambda h: F.struct(h["i"].alias("i"), h["length"].alias("length"), F.element_at(items, h["p"]).alias("items")))
-        return F.struct(F.size(w).alias("n"), hits.alias("hits"))
-
-    return _finish(docs.withColumn("scan", _let(words(F.col("row")[text]), of)), F.col("scan.n"), F.col("scan.hits"))
-
-
-def _by_join(docs: DataFrame, table: DataFrame, n_windows: int, kinds: list[int], doc_id: str, text: str) -> DataFrame:
-    key = docs.withColumns({"id": F.col("row")[doc_id], "hash": F.xxhash64(F.col("row")[text])})
-
-    def of_length(w: Column, n: int) -> Column:
-        return F.transform(_starts(w, n), lambda i: F.struct(i.alias("i"), F.lit(n).alias("length"), F.xxhash64(F.slice(w, i, n)).alias("k")))
-
-    hashed = lambda w: F.concat(*[of_length(w, n) for n in kinds])
-    rows = key.select("id", "hash", F.explode(_let(words(F.col("row")[text]), hashed)).alias("h")).select("id", "hash", "h.*")
-    near = rows.join(F.broadcast(table) if n_windows <= BROADCAST_WINDOWS else table, ["k", "length"])
-    near = near.groupBy(F.col("id").alias("id2"), F.col("hash").alias("hash2")).agg(F.collect_set(F.struct("i", "length", "words", "items")).alias("near"))
-    out = key.join(near, F.col("id").eqNullSafe(F.col("id2")) & (F.col("hash") == F.col("hash2")), "left")
-    none = F.array().cast(near.schema["near"].dataType)
-    checked = lambda w: F.struct(F.size(w).alias("n"), F.filter(F.coalesce("near", none), lambda h: F.slice(w, h["i"], h["length"]) == h["words"]).alias("hits"))
-    out = out.withColumn("scan", _let(words(F.col("row")[text]), checked))
-    hits = F.transform(F.col("scan.hits"), lambda h: F.struct(h["i"].alias("i"), h["length"].alias("length"), F.transform(h["items"], lambda x: x.cast("string")).alias("items")))
-    return _finish(out, F.col("scan.n"), hits)
-
-
-def _scanned(docs: DataFrame, benchmark: DataFrame, n: int, doc_id: str, text: str, plan_windows: int) -> DataFrame:
-    """Of each document: row, n_words, n_hit, items, hits."""
-    table, rows = windows(benchmark, n), packed(docs)
-    found = table.limit(plan_windows + 1).collect()
-    if not found:
-        nothing = F.array().cast("array<struct<i:int,length:int,items:array<string>>>")
-        return _finish(rows, F.size(words(F.col("row")[text])), nothing)
-    if len(found) <= plan_windows and len({r["k"] for r in found}) == len(found):
-        return _by_plan(rows, found, text)
-    kinds = [r["length"] for r in table.select("length").distinct().collect()]  # n of them at most
-    return _by_join(rows, table, table.count(), kinds, doc_id, text)
-
-
-def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, doc_id: str = "doc_id", text: str = "text", plan_windows: int = PLAN_WINDOWS) -> DataFrame:
+    return sized(written(found.select("id", "hash", _covered(F.col("found")).alias("n_hit"), items.alias("items"), places.alias("hits")), "hits"), BROADCAST_ROWS)
+
+
+def _same(doc_id: str, text: str) -> Column:
+    return F.col("row")[doc_id].eqNullSafe(F.col("id")) & (F.xxhash64(F.col("row")[text]) == F.col("hash"))
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Adds to each document _n_words, _n_hit (words inside an occurring window), _items (ids as sorted strings) and
     _hits (first word from 1, and length, of each occurrence).
 
     A window is n consecutive words of an item; an item of fewer words, but not none, is one window. Hits by hash
-    are verified word by word. A null or empty text has no words and no hits; null and repeated item_ids are
-    taken as they are; without items nothing is hit; an empty table gives an empty result; repeated rows get equal results.
-    Other columns are carried along; those named like an added one are replaced.
+    are verified word by word. A null or empty text has no words and no hits; any item_id is taken as its text, a null
+    one is not listed, a repeated one once; without items nothing is hit; an empty table gives an empty result; repeated
+    rows get equal results. Rows with one doc_id are judged by their own texts. Other columns are carried along; those
+    named like an added one are replaced.
     """
-    out = _scanned(docs, benchmark, n, doc_id, text, plan_windows)
-    return unpacked(out, docs.columns, _n_words=F.col("n_words"), _n_hit=F.col("n_hit"), _items=F.col("items"), _hits=F.col("hits"))
+    rows, found = packed(docs), _found(docs, benchmark, n, doc_id, text)
+    n_words = F.size(words(F.col("row")[text])).cast("long")
+    none, nowhere = F.array().cast("array<string>"), F.array().cast("array<struct<i:int,length:int>>")
+    if found is None:
+        return unpacked(rows, docs.columns, _n_words=n_words, _n_hit=F.lit(0).cast("long"), _items=none, _hits=nowhere)
+    out = rows.join(found, _same(doc_id, text), "left")
+    return unpacked(out, docs.columns, _n_words=n_words, _n_hit=F.coalesce("n_hit", F.lit(0).cast("long")), _items=F.coalesce("items", none), _hits=F.coalesce("hits", nowhere))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, n: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents in which no window of the benchmark occurs."""
-    return unpacked(_scanned(docs, benchmark, n, doc_id, text, PLAN_WINDOWS).filter("n_hit = 0"), docs.columns)
+    """The documents in which no window of the benchmark occurs, with all their columns; cases as in scan()."""
+    found = _found(docs, benchmark, n, doc_id, text)
+    return docs if found is None else unpacked(packed(docs).join(found, _same(doc_id, text), "left_anti"), docs.columns)

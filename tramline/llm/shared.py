@@ -41,8 +41,10 @@ BROADCAST_BYTES = 128 << 20
 
 
 def sized(df: DataFrame, rows: int) -> DataFrame:
-    """df, with a broadcast hint if it has so many rows at most and its text and binary columns are within BROADCAST_BYTES."""
-    wide = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    """df, with a broadcast hint if it has so many rows at most and its text, binary, arrays and structs are within BROADCAST_BYTES."""
+    flat = [(c, F.octet_length(c)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    deep = [(c, F.octet_length(F.to_json(F.struct(c)))) for c, kind in df.dtypes if kind.startswith(("array", "struct", "map"))]
+    wide = [F.coalesce(F.sum(size), F.lit(0)) for _, size in flat + deep]
     found = df.agg(F.count(F.lit(1)).alias("n"), sum(wide, F.lit(0)).alias("bytes")).first()
     return F.broadcast(df) if found["n"] <= rows and found["bytes"] <= BROADCAST_BYTES else df
 
