@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .exact_dedup import golomb_decode, golomb_encode
-from .shared import partitions, sized, written
+from .shared import packed, partitions, sized, unpacked, written
 from .text import SPACED, U, Words, chunks, grams, mix
 
 #: A shingle in so many documents counts as frequent.
@@ -203,12 +203,12 @@ def _documents(n: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for i, j, row, h in shingle_sets(batch.column(1), n):
+            for i, j, row, h in shingle_sets(batch.column(2), n):
                 size, digest = digests(row, h, j - i)
                 sizes.append(size)
                 ids.append(digest)
             size = np.concatenate(sizes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(np.concatenate(ids), mask=size == 0)], names=["doc_id", "n_shingles", "set"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(np.concatenate(ids), mask=size == 0)], names=["doc_id", "mark", "n_shingles", "set"])
 
     return describe
 
@@ -231,7 +231,8 @@ def _similar(percent: int) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of set numbers whose sets are similar. The larger end, which may be a pivot of many, is joined last."""
+    """Pairs (a, b) of set numbers whose sets are similar. The end that may be a pivot of many is joined last; both sides
+    of that join are plain tables, so that Spark can split it."""
     x = sets.select(F.col("set").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("set").alias("b"), F.col("shingles").alias("y"))
     fits = (F.size("x") * percent <= F.size("y") * 100) & (F.size("y") * percent <= F.size("x") * 100)
@@ -244,7 +245,8 @@ def _sets(docs: DataFrame, first: DataFrame, ends: DataFrame, n: int) -> DataFra
     few = sized(wanted, BROADCAST_IDS)
     rows = docs.alias("d").join(few.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select("d.text", "w.wanted")
     sets = rows.mapInArrow(_members(n), "set long, wanted long, shingles array<long>").filter("set = wanted").drop("wanted")
-    return written(sets, "shingles").dropDuplicates(["set"])
+    sets = written(sets, "shingles")
+    return sets if sets.count() == wanted.count() else written(sets.dropDuplicates(["set"]), "shingles")  # rows may be repeated
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> list[int]:
@@ -311,20 +313,13 @@ def _opened(left: DataFrame, right: DataFrame, sets_of, percent: int) -> DataFra
     return rows.join(sets, "set").groupBy("group", "x", "y").applyInArrow(_compare(percent), "a long, b long")
 
 
-def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, n_shingles (distinct), component_id (least doc_id that links reach).
-
-    Words stand between ASCII white space, A-Z as a-z; a text of fewer than n words, but not none, is one shingle.
-    Two documents link if the intersection of their sets is at least `percent` of the union. Null, empty and blank texts have no
-    shingles and no links: their component_id is their own doc_id. Documents with equal sets are linked; rows with one
-    doc_id are judged by their own texts, and all of a component get its least doc_id (nulls don't count, and an
-    all-null component gets null). An empty table gives an empty result; other columns are not read.
-    """
+def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of documents (doc_id, text): doc_id, mark (a hash of the text), n_shingles, set (null if empty); and of each set: its component."""
     spark = docs.sparkSession
     owners = partitions(spark) * OWNERS
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    described = written(docs.mapInArrow(_documents(n), f"doc_id {kind}, n_shingles long, set long"), "sets")
+    described = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(_documents(n), f"doc_id {kind}, mark long, n_shingles long, set long")
+    described = written(described, "sets")
     first = described.filter("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("size"))
     first = written(first, "distinct-sets")
 
@@ -366,6 +361,19 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: st
     groups = written(components(links.union(written(found, "more-links"))), "components")
 
     named = first.join(groups.select(F.col("node").alias("set"), "component"), "set", "left").withColumn("component", F.coalesce("component", "set"))
+    return described, written(named.select("set", "doc_id", "component"), "named")
+
+
+def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: doc_id, n_shingles (distinct), component_id (least doc_id that links reach).
+
+    Words stand between ASCII white space, A-Z as a-z; a text of fewer than n words, but not none, is one shingle.
+    Two documents link if the intersection of their sets is at least `percent` of the union. Null, empty and blank texts have no
+    shingles and no links: their component_id is their own doc_id. Documents with equal sets are linked; rows with one
+    doc_id are judged by their own texts, and all of a component get its least doc_id (nulls don't count, and an
+    all-null component gets null). An empty table gives an empty result; other columns are not read.
+    """
+    described, named = _classes(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), n, percent)
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     ids = written(named.select("set", "component").join(ids, "component").select("set", "component_id"), "component-ids")
     out = described.join(ids, "set", "left")
@@ -373,7 +381,23 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: st
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without all of each component but those with its least doc_id, with the columns as they were."""
-    gone = written(similar_documents(docs, n, percent, doc_id, text).filter(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("_gone")), "near")
-    gone = sized(gone, BROADCAST_IDS)
-    return docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")
+    """One document of each component, and those without shingles, with the columns as they were.
+
+    The row with the least doc_id stays (null after all others); of several texts with that doc_id in a component, that of
+    the least hash; of repeated rows with that text, the largest by its other columns. Rows are removed by doc_id and text,
+    so a row that is similar to nothing stays whatever its doc_id. Other cases are as in similar_documents().
+    """
+    described, named = _classes(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), n, percent)
+    rows = described.filter("set is not null").select("doc_id", "mark", "set").join(named.select("set", "component"), "set")
+    best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("best"), F.count(F.lit(1)).alias("n"))
+    best = written(best.filter("n > 1").select("component", F.col("best.doc_id").alias("best_id"), F.col("best.mark").alias("best_mark")), "best")
+    rows = rows.join(sized(best, BROADCAST_IDS), "component").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("mark") == F.col("best_mark")))
+    groups = written(rows.groupBy("doc_id", "mark").agg(F.first("stays").alias("stays"), F.count(F.lit(1)).alias("n")).filter("not stays or n > 1"), "near")
+
+    own = lambda t: F.col("row")[doc_id].eqNullSafe(t["doc_id"]) & (F.xxhash64(F.col("row")[text]) == t["mark"])
+    left = packed(docs).join(sized(groups, BROADCAST_IDS), own(groups), "left_anti")
+    again = groups.filter("stays")
+    if not again.isEmpty():
+        twice = packed(docs).join(sized(again, BROADCAST_IDS), own(again), "left_semi")
+        left = left.unionAll(twice.groupBy(F.col("row")[doc_id].alias("i"), F.xxhash64(F.col("row")[text]).alias("m")).agg(F.max("row").alias("row")).select("row"))
+    return unpacked(left, docs.columns)
