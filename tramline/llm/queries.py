@@ -40,7 +40,7 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=400)
     size = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return cut.select("doc_id", "n_bytes", size.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select("doc_id", "n_bytes", size.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.col("pieces").alias("n_shared_pieces"))
 
 
 def op4_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

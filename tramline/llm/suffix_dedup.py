@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .shared import partitions, sized, written
 from .suffix_array import suffix_array
-from .text import _BYTE, U, chunks, mix, powers
+from .text import _BYTE, OTHER_BASE, OTHER_BYTE, U, chunks, mix, powers
 
 #: Bytes of the piece whose hash chooses the anchor, and strings that share a core.
 ANCHOR, STEP = 128, 16
@@ -35,7 +35,7 @@ SYMBOLS = 250_000
 OWNERS = 4
 #: Up to so many rows (anchor keys, or texts with their places), tables are broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 400_000
-_PLACE = U((1 << 26) - 1)  # places in a chunk; the hash above them decides first
+_PLACE = U((1 << 32) - 1)  # places in a chunk, which is a text at most or small texts; the hash above them decides first
 
 
 def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -45,6 +45,14 @@ def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, down
 
 
+def _other(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As _sums, for a second hash of other constants: what removes bytes has 128 bits."""
+    up, down = powers(len(data) + 1, OTHER_BASE)
+    sums = np.zeros(len(data) + 1, dtype=U)
+    np.cumsum(OTHER_BYTE[data] * up[:-1], out=sums[1:])
+    return sums, down
+
+
 def _hash(sums: np.ndarray, down: np.ndarray, first, last) -> np.ndarray:
     return mix((sums[last] - sums[first]) * down[first] + np.asarray(last - first).astype(U))
 
@@ -59,7 +67,7 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def _anchors(length: int):
-    """(sid, text) to contexts: sid, anchor, first and last string (starts), hash of the anchor piece, of the context."""
+    """(sid, text) to contexts: sid, anchor, first and last string (starts), hash of the anchor piece, and two of the context."""
     w = length - ANCHOR + 1
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,17 +86,18 @@ def _anchors(length: int):
                 new = np.flatnonzero(np.append(True, (which[1:] != which[:-1]) | (row[1:] != row[:-1]))) if len(start) else start
                 first, last = start[new], start[np.append(new[1:], len(start)) - 1] if len(start) else start
                 a, r = which[new], row[new]
-                context = mix(_hash(sums, down, first, last + length) + (a - first).astype(U) * U(0xD6E8FEB86659FD93))
+                place = (a - first).astype(U) * U(0xD6E8FEB86659FD93)
+                context = [mix(_hash(*both, first, last + length) + place).view(np.int64) for both in ((sums, down), _other(data))]
                 base = at[r]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sids[i + r]), pa.array(a - base), pa.array(first - base), pa.array(last - base), pa.array(h[a].view(np.int64)), pa.array(context.view(np.int64))],
-                    names=["sid", "anchor", "first", "last", "key", "context"],
+                    [pa.array(x) for x in (sids[i + r], a - base, first - base, last - base, h[a].view(np.int64), *context)],
+                    names=["sid", "anchor", "first", "last", "key", "context", "more"],
                 )
 
     return anchors
 
 
-_CORE = np.dtype([("core", "<u8"), ("sid", "<i8"), ("at", "<i8"), ("left", "S16"), ("right", "S16"), ("lo", "u1"), ("hi", "u1")])
+_CORE = np.dtype([("core", "<u8"), ("more", "<u8"), ("sid", "<i8"), ("at", "<i8"), ("left", "S16"), ("right", "S16"), ("lo", "u1"), ("hi", "u1")])
 
 
 def _cores(length: int, owners: int):
@@ -102,7 +111,7 @@ def _cores(length: int, owners: int):
             sids = batch.column("sid").to_pylist()
             found = []
             for i, j, data, at in chunks(batch.column("text")):
-                sums, down = _sums(data)
+                (sums, down), other = _sums(data), _other(data)
                 padded = np.concatenate([np.zeros(STEP, np.uint8), data, np.zeros(STEP, np.uint8)])
                 for r in range(i, j):
                     c = np.frombuffer(asked[r], "<i8").reshape(-1, 3) + at[r - i]
@@ -114,7 +123,8 @@ def _cores(length: int, owners: int):
                     ok = lo <= hi
                     core, lo, hi = core[ok], lo[ok], hi[ok]
                     out = np.zeros(len(core), dtype=_CORE)
-                    out["core"], out["sid"], out["at"] = _hash(sums, down, core, core + size), sids[r], core - at[r - i]
+                    out["core"], out["more"] = _hash(sums, down, core, core + size), _hash(*other, core, core + size)
+                    out["sid"], out["at"] = sids[r], core - at[r - i]
                     out["lo"], out["hi"] = lo - (core - side), hi - (core - side)
                     flank = np.arange(side)
                     out["left"] = np.ascontiguousarray(np.pad(padded[(core - side + STEP)[:, None] + flank], ((0, 0), (0, 1)), constant_values=1)).view("S16").ravel()
@@ -132,6 +142,11 @@ def _cores(length: int, owners: int):
     return cores
 
 
+def _differ(cores: np.ndarray) -> np.ndarray:
+    """Of sorted cores but the first, whether they are unlike the one before."""
+    return (cores["core"][1:] != cores["core"][:-1]) | (cores["more"][1:] != cores["more"][:-1])
+
+
 def _bytes(column: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(column).view(np.uint8).reshape(len(column), 16)[:, : STEP - 1].astype(np.int64)
 
@@ -141,12 +156,15 @@ def repeated(cores: np.ndarray) -> np.ndarray:
 
     A core with its flanks is a run of 2 * STEP - 1 symbols; `lo` to `hi` are the strings that count.
     """
-    names, number = np.unique(cores["core"], return_inverse=True)
+    order = np.lexsort((cores["more"], cores["core"]))
+    new = np.append(True, _differ(cores[order]))
+    number = np.empty(len(cores), np.int64)
+    number[order] = np.cumsum(new) - 1
     left, right = _bytes(cores["left"]), _bytes(cores["right"])
     flank = np.arange(STEP - 1)
     left[flank < cores["lo"][:, None]] = 256  # outside of the context
     right[flank >= cores["hi"][:, None]] = 256
-    rows = np.concatenate([left, 257 + number[:, None], right, np.full((len(cores), 1), 257 + len(names))], axis=1)
+    rows = np.concatenate([left, 257 + number[:, None], right, np.full((len(cores), 1), 257 + int(new.sum()))], axis=1)
     text = rows.ravel()
     sa = suffix_array(text)
     width = rows.shape[1]
@@ -175,8 +193,8 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _owner(length: int):
     def owner(table: pa.Table) -> pa.Table:
         every = np.concatenate([np.frombuffer(x, _CORE) for x in table.column("cores").to_pylist()])
-        every = every[np.argsort(every["core"], kind="stable")]
-        at = np.flatnonzero(np.append(True, every["core"][1:] != every["core"][:-1]))
+        every = every[np.lexsort((every["more"], every["core"]))]
+        at = np.flatnonzero(np.append(True, _differ(every)))
         size = np.diff(np.append(at, len(every)))
         shared = np.repeat(size > 1, size)
         every, size = every[shared], size[size > 1]
@@ -197,18 +215,18 @@ def _owner(length: int):
 
 
 def _strings(length: int):
-    """(text, sid, contexts) to every string of the contexts: hash, sid, start."""
+    """(text, sid, contexts) to every string of the contexts: two hashes, sid, start."""
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             asked, sids = batch.column("contexts").to_pylist(), batch.column("sid").to_pylist()
             for i, j, data, at in chunks(batch.column("text")):
-                sums, down = _sums(data)
+                both = _sums(data), _other(data)
                 for r in range(i, j):
                     c = np.frombuffer(asked[r], "<i8").reshape(-1, 3)
                     p = np.concatenate([np.arange(a, b + 1) for a, b in c[:, 1:]])
-                    h = _hash(sums, down, p + at[r - i], p + at[r - i] + length)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(p), sids[r])), pa.array(p)], names=["h", "sid", "start"])
+                    h = [_hash(*x, p + at[r - i], p + at[r - i] + length).view(np.int64) for x in both]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, h), pa.array(np.full(len(p), sids[r])), pa.array(p)], names=["h", "more", "sid", "start"])
 
     return strings
 
@@ -225,7 +243,7 @@ def _pack(kind: str):
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, spans) to what stays of each text: doc_id, n_bytes, kept, and the removed spans, merged."""
+    """(doc_id, text, spans, pieces) to what stays of each text: doc_id, n_bytes, kept, the removed spans, merged, and pieces."""
     for batch in batches:
         kept, removed, sizes = [], [], []
         for text, spans in zip(batch.column(1).cast(pa.large_binary()), batch.column(2)):
@@ -245,17 +263,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             removed.append([{"start": a, "end": b} for a, b in runs])
             sizes.append(len(data))
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(removed, spans_type)], names=["doc_id", "n_bytes", "kept", "removed"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(removed, spans_type), batch.column(3)], names=["doc_id", "n_bytes", "kept", "removed", "pieces"])
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text", hot: int = HOT_CONTEXTS) -> DataFrame:
     """Takes from each text the bytes covered by a string of `length` bytes that also starts elsewhere, in any text or the same.
 
-    Returns doc_id, n_bytes, kept (the remaining bytes, which need not be whole characters) and removed (maximal
-    spans as start and end). Strings are judged on the input, do not cross documents, and may overlap. A null text is
+    Returns doc_id, n_bytes, kept (the remaining bytes, which need not be whole characters), removed (maximal
+    spans as start and end) and pieces: of the ANCHOR-byte pieces at the text's anchors, the number that are anchors
+    of another text, too, which tells of shared passages that are shorter than `length` and stay. Strings are judged on the input, do not cross documents, and may overlap. A null text is
     empty; shorter texts lose nothing; of equal texts all copies lose what is long enough; null and repeated doc_ids
     are just carried along; an empty table gives an empty result; other columns are not read. `length` is 272 at
-    least. Texts are known by 64-bit hashes while they are compared.
+    least. Texts are known by 64-bit hashes meanwhile, strings are equal by 128 bits.
     """
     if length < 2 * ANCHOR + STEP:
         raise ValueError(f"length must be {2 * ANCHOR + STEP} or more")
@@ -264,17 +283,16 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("sid"))
     limited = lambda df: sized(df, BROADCAST_ROWS)
 
-    contexts = written(docs.select("sid", "text").mapInArrow(_anchors(length), "sid long, anchor long, first long, last long, key long, context long"), "contexts")
-    each = contexts.groupBy("key", "context").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("sid", "anchor")).alias("at"))
+    contexts = written(docs.select("sid", "text").mapInArrow(_anchors(length), "sid long, anchor long, first long, last long, key long, context long, more long"), "contexts")
+    each = contexts.groupBy("key", "context", "more").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("sid", "anchor")).alias("at"), F.max("sid").alias("top"))
     each = written(each, "each-context")
-    keys = each.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("all")).filter("all > 1").select("key", "kinds")
-    each = each.join(limited(written(keys, "keys")), "key")
-    each = written(each, "shared-contexts")
-    whole = contexts.join(limited(each.filter("copies > 1").select("key", "context")), ["key", "context"], "left_semi")
-    whole = whole.select("sid", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
-
-    mixed = each.filter("kinds > 1").select("key", "context", "kinds", "at.sid", "at.anchor")
-    mixed = contexts.join(limited(mixed), ["key", "context", "sid", "anchor"]).select("sid", "anchor", "first", "last", (F.col("kinds") > hot).alias("hot"))
+    keys = each.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("all"), F.min("at.sid").alias("lo"), F.max("top").alias("hi"))
+    keys = keys.filter("all > 1").select("key", "kinds", (F.col("lo") < F.col("hi")).alias("wide"))
+    each = written(each.join(limited(written(keys, "keys")), "key").select("key", "context", "more", "copies", "at", "kinds", "wide"), "shared-contexts")
+    shared = written(contexts.join(limited(each), ["key", "context", "more"]), "shared")
+    whole = shared.filter("copies > 1").select("sid", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
+
+    mixed = shared.filter("kinds > 1 and sid = at.sid and anchor = at.anchor").select("sid", "anchor", "first", "last", (F.col("kinds") > hot).alias("hot"))
     mixed = written(mixed.dropDuplicates(["sid", "anchor"]), "mixed")
     names = docs.groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
 
@@ -287,11 +305,13 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
     some = blocks.groupBy("owner").applyInArrow(_owner(length), "sid long, start long, end long")
     found = whole.unionByName(some)
     if mixed.filter("hot").take(1):
-        strings = written(texts(mixed.filter("hot")).mapInArrow(_strings(length), "h long, sid long, start long").distinct(), "strings")
-        again = strings.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-        found = found.unionByName(strings.join(again, "h", "left_semi").select("sid", "start", (F.col("start") + length).alias("end")))
-    spans = written(found.distinct().groupBy("sid").applyInArrow(_pack("start end"), "sid long, contexts binary"), "spans")
-    spans = spans.select(F.col("sid").alias("s"), F.col("contexts").alias("spans"))
-    out = docs.join(limited(spans), F.col("sid") == F.col("s"), "left").select("doc_id", "text", "spans")
+        strings = written(texts(mixed.filter("hot")).mapInArrow(_strings(length), "h long, more long, sid long, start long").distinct(), "strings")
+        again = strings.groupBy("h", "more").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h", "more")
+        found = found.unionByName(strings.join(again, ["h", "more"], "left_semi").select("sid", "start", (F.col("start") + length).alias("end")))
+    spans = found.distinct().groupBy("sid").applyInArrow(_pack("start end"), "sid long, contexts binary")
+    pieces = shared.filter("wide").select("sid", "anchor").distinct().groupBy("sid").agg(F.count(F.lit(1)).alias("pieces"))
+    about = written(spans.join(pieces, "sid", "full_outer"), "spans").select(F.col("sid").alias("s"), F.col("contexts").alias("spans"), "pieces")
+    out = docs.join(limited(about), F.col("sid") == F.col("s"), "left").select("doc_id", "text", "spans", F.coalesce("pieces", F.lit(0).cast("long")).alias("pieces"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return out.mapInArrow(_cut, f"doc_id {kind}, n_bytes long, kept binary, removed array<struct<start:long,end:long>>").withColumnRenamed("doc_id", doc_id)
+    schema = f"doc_id {kind}, n_bytes long, kept binary, removed array<struct<start:long,end:long>>, pieces long"
+    return out.mapInArrow(_cut, schema).withColumnRenamed("doc_id", doc_id)

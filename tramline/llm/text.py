@@ -10,6 +10,7 @@ import pyarrow as pa
 U = np.uint64
 _SEED = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93  # odd, so that it has an inverse modulo 2**64
+OTHER_BASE = 0xA0761D6478BD642F  # of a second hash, where 64 bits are not enough
 _CHUNK = 1 << 18
 
 
@@ -28,18 +29,21 @@ def _constants(n: int, salt: int) -> np.ndarray:
 
 
 _BYTE = _constants(256, 1)
-_POWERS: dict[str, np.ndarray] = {}
+OTHER_BYTE = _constants(256, 2)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The base to the powers 0 to n - 1, and their inverses."""
-    if len(_POWERS.get("up", ())) < n:
-        size = max(n, _CHUNK + 1)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            a = np.full(size, base, dtype=U)
+def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    """An odd base to the powers 0 to n - 1, and their inverses."""
+    if len(_POWERS.get(base, ((),))[0]) < n:
+        size, both = max(n, _CHUNK + 1), []
+        for b in (base, pow(base, -1, 1 << 64)):
+            a = np.full(size, b, dtype=U)
             a[0] = 1
-            _POWERS[name] = np.cumprod(a, dtype=U)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+            both.append(np.cumprod(a, dtype=U))
+        _POWERS[base] = (both[0], both[1])
+    up, down = _POWERS[base]
+    return up[:n], down[:n]
 
 
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
