@@ -59,6 +59,44 @@ def has_routes(routes: Column) -> Column:
     return F.coalesce((routes != "[]") & (F.length(routes) > 0), F.lit(False))
 
 
+def live_dot_shown(live: Column) -> Column:
+    """A stop with real-time data has a dot."""
+    return F.coalesce(live, F.lit(False))
+
+
+def highlighted(parent: Column, wanted: Column, routes: Column) -> Column:
+    """Platforms of the highlighted station, which may be none, if they have routes."""
+    return parent.eqNullSafe(wanted) & has_routes(routes)
+
+
+def platform_shown(platform: Column, routes: Column) -> Column:
+    return platform.isNotNull() & has_routes(routes)
+
+
+def layer_types(overlays: Column, kind: str = "otp2") -> Column:
+    """Types of the layers of all overlays of a kind, in their order; overlays without layers add none."""
+    mine = F.filter(F.coalesce(overlays, F.array().cast("array<struct<type:string,layers:array<struct<type:string>>>>")), lambda o: o["type"] == kind)
+    return F.flatten(F.transform(mine, lambda o: F.coalesce(F.transform(o["layers"], lambda x: x["type"]), F.array().cast("array<string>"))))
+
+
+def tile_url(endpoint: Column, types: Column) -> Column:
+    return F.concat(endpoint, F.lit("/"), F.array_join(types, ","), F.lit("/tilejson.json"))
+
+
+def branded(host: Column, brands: dict[str, dict[str, str]], field: str, default: Column) -> Column:
+    """A host's own branding or title; that of the settings for any other host. A brand that lacks it has none."""
+    return match(host, {h: b.get(field) for h, b in brands.items()}, default)
+
+
+def tagged(tags: Column, wanted: dict[str, list[str]]) -> Column:
+    """Whether any of the named tags has one of the values listed for it."""
+    tests = [F.coalesce(F.try_element_at(tags, F.lit(k)).isin(v), F.lit(False)) for k, v in wanted.items()]
+    out = F.lit(False)
+    for t in tests:
+        out = out | t
+    return out
+
+
 def shown_at_zoom(kind: Column, zoom: Column) -> Column:
     return zoom >= match(kind, STATION_MIN_ZOOM, 15)
 

@@ -189,6 +189,16 @@ def day_in_range(day: Column, first: Column, last: Column) -> Column:
     return F.coalesce((trim_space(day) != "") & (day >= first) & (day <= last), F.lit(False))
 
 
+def rounded(c: Column) -> Column:
+    """The nearest whole number; halves go up."""
+    return F.floor(c + 0.5).cast("double")
+
+
+def parsed_property(c: Column, schema: str) -> Column:
+    """A property that holds JSON text, as an array; null where there is no text."""
+    return F.when(truthy(c, "string"), F.from_json(c, schema))
+
+
 def decimal_point(c: Column) -> Column:
     """The number at the start of a text, with a decimal point."""
     return F.regexp_extract(trim_space(c), r"^[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?)", 0).try_cast("double")

@@ -20,6 +20,11 @@ def variant(**fields: Column) -> Column:
     return F.parse_json(F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])))
 
 
+def once(c: Column) -> Column:
+    """c, made once for a row: filters and fields above are not pushed into it, as they would make it again each."""
+    return F.explode(F.array(c))
+
+
 def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
@@ -41,7 +46,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_acctbal") > -500).alias("sactive"),
         (F.col("c_nationkey") != 4).alias("savailable"),
         F.when(key % 5 != 0, point("c_custkey")).alias("scoordinate"),
-        meta.alias("smetadata"),
+        once(meta).alias("smetadata"),
         key.alias("ordinal"),
     )
 
@@ -115,7 +120,7 @@ def chargers(spark: SparkSession, sf_dir: str) -> DataFrame:
         state=F.col("o_orderstatus"),
     )
     return table(spark, sf_dir, "orders").select(
-        _text("o_orderkey").alias("scode"), F.concat(F.lit("charger "), _text("o_orderkey")).alias("sname"), (F.col("o_orderstatus") != "P").alias("sactive"), point("o_orderkey").alias("scoordinate"), meta.alias("smetadata")
+        _text("o_orderkey").alias("scode"), F.concat(F.lit("charger "), _text("o_orderkey")).alias("sname"), (F.col("o_orderstatus") != "P").alias("sactive"), point("o_orderkey").alias("scoordinate"), once(meta).alias("smetadata")
     )
 
 
@@ -126,7 +131,7 @@ def plugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = variant(outlets=F.when(n % 3 == 0, outlet), outletTypeCode=F.when(n % 3 == 1, F.col("l_linestatus")), maxPower=F.when(n % 3 == 1, F.lit(11.0)))
     value = F.when(F.col("l_quantity") > 25, F.parse_json(F.lit("1"))).when(F.col("l_quantity") > 15, F.parse_json(F.lit('"1"'))).otherwise(F.parse_json(F.lit("0")))
     return table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber")).alias("scode"), _text("l_orderkey").alias("pcode"), _text("l_partkey").alias("sname"), value.alias("mvalue"), F.when(n != 7, meta).alias("smetadata"), n.alias("ordinal")
+        F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber")).alias("scode"), _text("l_orderkey").alias("pcode"), _text("l_partkey").alias("sname"), value.alias("mvalue"), once(F.when(n != 7, meta)).alias("smetadata"), n.alias("ordinal")
     )
 
 

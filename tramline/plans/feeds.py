@@ -157,21 +157,25 @@ def free_bike_status(bikes: DataFrame, dimension: DataFrame, order: str = "ordin
     )
 
 
+_PLUG_FIELDS = "maxPower: double, maxCurrent: double, minCurrent: double, outletTypeCode: variant"
+
+
 def plugs_of(plugs: DataFrame) -> DataFrame:
     """Plugs with metadata as records: of the first outlet if there are outlets, else of the plug itself."""
-    meta = F.col("smetadata")
-    outlets = F.try_variant_get(meta, "$.outlets", "array<variant>")
-    from_outlet = F.coalesce(F.size(outlets) > 0, F.lit(False))
-    of = lambda name, kind: F.when(from_outlet, F.try_variant_get(F.get(outlets, F.lit(0)), f"$.{name}", kind)).otherwise(F.try_variant_get(meta, f"$.{name}", kind))
-    return plugs.filter(S.truthy_variant(meta)).select(
+    whole = F.try_variant_get("smetadata", "$", f"struct<outlets: array<variant>, {_PLUG_FIELDS}>")
+    rows = plugs.filter(S.truthy_variant(F.col("smetadata"))).withColumn("_own", whole)
+    first = F.try_variant_get(F.get("_own.outlets", F.lit(0)), "$", f"struct<{_PLUG_FIELDS}>")
+    own = F.struct(*[F.col(f"_own.{n}").alias(n) for n in ("maxPower", "maxCurrent", "minCurrent", "outletTypeCode")])
+    rows = rows.withColumn("_of", F.when(F.coalesce(F.size("_own.outlets") > 0, F.lit(False)), first).otherwise(own))
+    return rows.select(
         "pcode",
         "ordinal",
         F.col("scode").alias("plug_id"),
         F.col("sname").alias("name"),
         S.strictly_equals(F.col("mvalue"), 1).alias("available"),
-        *[of(n, "double").alias(n) for n in ("maxPower", "maxCurrent", "minCurrent")],
-        of("outletTypeCode", "string").alias("outletTypeCode"),
-        S.key_text(of("outletTypeCode", "variant")).alias("type_key"),
+        *[F.col(f"_of.{n}").alias(n) for n in ("maxPower", "maxCurrent", "minCurrent")],
+        F.try_variant_get("_of.outletTypeCode", "$", "string").alias("outletTypeCode"),
+        S.key_text(F.col("_of.outletTypeCode")).alias("type_key"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import prefixed_lower, slug, whole_record
-from ..operators.relate import roll_up, union_all
+from ..operators.relate import first_match, roll_up, union_all
 
 # Weights of modes, of a route, names of categories.
 MODE_WEIGHTS = {"AIRPLANE": 1500, "RAIL": 1000, "BUS": 500, "TRAM": 500, "GONDOLA": 500, "FUNICULAR": 500}
@@ -76,6 +76,11 @@ def accommodation_rows(places: DataFrame, source: str) -> DataFrame:
     return place_rows(places, source, "Latitude", "Longitude", "AccoDetail", "Name", tags, "addendum_json_accomodation", "accomodation:")
 
 
+def with_operator(stops: DataFrame, operators: DataFrame, value: str = "name", agency: str = "agencyId", order: str = "ordinal") -> DataFrame:
+    """Adds `operator`: the first operator that is the agency of the stop's first route, or null."""
+    return first_match(stops, operators, F.get("routes", F.lit(0))["agency"]["gtfsId"], agency, order, value, name="operator")
+
+
 def current_vehicles(measurements: DataFrame, order: str = "ordinal") -> DataFrame:
     """Vehicles with coordinates: the last position and state of each, the rest from its first row.
 

@@ -369,12 +369,11 @@ def mode_icons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.table(spark, sf_dir, "events").select("event_id", "event_type", D.mode_icon(mode).alias("icon"))
 
 
-@_query("SELECT p_partkey, p_type FROM part WHERE p_type IN (SELECT DISTINCT p_type FROM part ORDER BY 1 LIMIT 8)")
+@_query("SELECT p_partkey, p_type FROM part WHERE p_type IN (SELECT DISTINCT p_type FROM part WHERE p_type LIKE '%STEEL' OR p_type LIKE '%BRASS') OR p_size = 7 OR p_size = 21")
 def tag_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = A.table(spark, sf_dir, "part")
-    wanted = part.select("p_type").distinct().orderBy("p_type").limit(8)
-    tagged = part.withColumn("tags", F.create_map(F.lit("highway"), F.col("p_type")))
-    return tagged.withColumn("t", F.col("tags")["highway"]).join(wanted.withColumnRenamed("p_type", "t"), "t", "left_semi").select("p_partkey", "p_type")
+    material = F.element_at(F.split("p_type", " "), -1)
+    tags = F.create_map(F.lit("material"), material, F.lit("size"), F.col("p_size").cast("string"))
+    return A.table(spark, sf_dir, "part").filter(D.tagged(tags, {"material": ["STEEL", "BRASS"], "size": ["7", "21"]})).select("p_partkey", "p_type")
 
 
 @_query("SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 3 <> 0 THEN 'a' ELSE 'b' END AS side FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0")
@@ -458,3 +457,136 @@ def current_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = A.table(spark, sf_dir, "events").select(F.col("user_id").alias("scode"), F.lit("x").alias("sname"), F.lit("y").alias("prlineage"), name.alias("tname"), value.alias("mvalue"), i.alias("ordinal"))
     out = poi.current_vehicles(rows)
     return out.select(F.col("Phone").alias("user_id"), "lat", F.col("State").alias("state"), D.opacity(F.col("State") == "view").alias("opacity"))
+
+
+@_query("""
+    WITH r AS (SELECT o_custkey AS k, arg_min(o_orderkey % 40, o_orderkey) AS a FROM orders GROUP BY 1),
+    op AS (SELECT n_nationkey AS a, n_name AS name FROM nation)
+    SELECT c_custkey, name AS operator FROM customer LEFT JOIN r ON k = c_custkey LEFT JOIN op USING (a)""")
+def stop_operator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    route = F.struct(key.alias("k"), F.struct((key % 40).cast("string").alias("gtfsId")).alias("agency"))
+    routes = A.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(route)).alias("routes"))
+    stops = A.table(spark, sf_dir, "customer").select("c_custkey").join(routes, F.col("c_custkey") == F.col("o_custkey"), "left")
+    operators = A.table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("agencyId"), F.col("n_name").alias("name"), F.col("n_nationkey").alias("ordinal"))
+    return poi.with_operator(stops, operators).select("c_custkey", "operator")
+
+
+@_query("""
+    SELECT user_id, CASE event_type WHEN 'view' THEN 'green' WHEN 'click' THEN NULL ELSE 'plain' END AS branding, CASE event_type WHEN 'view' THEN 'Views' WHEN 'click' THEN 'Clicks' ELSE 'Journeys' END AS title, count(*) AS n
+    FROM events GROUP BY ALL""")
+def brand_by_host(spark: SparkSession, sf_dir: str) -> DataFrame:
+    brands = {"view": {"branding": "green", "title": "Views"}, "click": {"title": "Clicks"}}
+    own = lambda field, default: D.branded(F.col("event_type"), brands, field, F.lit(default)).alias(field)
+    return A.table(spark, sf_dir, "events").groupBy("user_id", own("branding", "plain"), own("title", "Journeys")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query("""
+    SELECT l_orderkey, l_linenumber, floor(l_extendedprice / 100 + 0.5)::DOUBLE AS power, CASE WHEN l_linenumber = 3 THEN NULL WHEN l_linenumber = 1 THEN 0 ELSE 2 END::INT AS n_types,
+           CASE WHEN l_linenumber NOT IN (1, 3) THEN l_returnflag END AS first_type FROM lineitem""")
+def charger_popup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("l_linenumber")
+    text = F.when(n == 3, "").when(n == 1, "[]").otherwise(F.to_json(F.array("l_returnflag", "l_linestatus")))
+    types = S.parsed_property(F.col("types"), "array<string>")
+    rows = A.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", A.once(text).alias("types"))
+    return rows.select("l_orderkey", "l_linenumber", S.rounded(F.col("l_extendedprice") / 100).alias("power"), F.when(types.isNotNull(), F.size(types)).alias("n_types"), F.get(types, F.lit(0)).alias("first_type"))
+
+
+@_query("""
+    SELECT r_regionkey, 'http://tiles/' || coalesce(string_agg(n_name || ',' || 'x' || n_nationkey::VARCHAR, ',' ORDER BY n_nationkey) FILTER (WHERE n_nationkey % 3 = 1), '') || '/tilejson.json' AS url
+    FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY 1""")
+def overlay_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("n_nationkey")
+    layers = F.when(key % 3 != 2, F.array(F.struct(F.col("n_name").alias("type")), F.struct(F.concat(F.lit("x"), key.cast("string")).alias("type"))))
+    overlay = F.struct(key.alias("k"), F.struct(F.when(key % 3 == 1, "otp2").when(key % 3 == 2, "otp2").otherwise("micromobility").alias("type"), layers.alias("layers")).alias("o"))
+    overlays = A.table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.transform(F.array_sort(F.collect_list(overlay)), lambda x: x["o"]).alias("overlays"))
+    rows = A.table(spark, sf_dir, "region").join(overlays, F.col("r_regionkey") == F.col("n_regionkey"), "left")
+    return rows.select("r_regionkey", D.tile_url(F.lit("http://tiles"), D.layer_types(F.col("overlays"))).alias("url"))
+
+
+@_query(f"""WITH {_FEATURE}
+    SELECT p_partkey, p_partkey % 5 = 0 AND p_partkey % 10 <> 0 AS dot, platform = 'P7' AND routes = '["r"]' AND routes IS NOT NULL AS highlighted, p_partkey % 6 <> 0 AND coalesce(routes = '["r"]', false) AS platform_shown FROM f""")
+def stop_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("p_partkey")
+    live = F.when(key % 5 == 0, key % 10 != 0)
+    platform = F.when(key % 6 != 0, F.col("platform"))
+    return A.features(spark, sf_dir).select(
+        "p_partkey", D.live_dot_shown(live).alias("dot"), D.highlighted(F.col("platform"), F.lit("P7"), F.col("routes")).alias("highlighted"), D.platform_shown(platform, F.col("routes")).alias("platform_shown")
+    )
+
+
+@_query("SELECT p_partkey, coalesce(CASE WHEN p_size % 5 <> 0 THEN p_size % 4 END > 0, false) OR 9 + p_partkey % 11 >= 10 AS shown FROM part")
+def charger_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.features(spark, sf_dir).select("p_partkey", D.charger_shown(F.col("vehiclesAvailable"), F.col("zoom")).alias("shown"))
+
+
+@_query("""
+    SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN s_acctbal ELSE s_suppkey + 0.5 END::DOUBLE AS lat, CASE WHEN s_suppkey % 4 = 0 THEN s_acctbal ELSE s_suppkey + 0.25 END::DOUBLE AS lon,
+           CASE WHEN s_suppkey % 5 = 0 THEN s_name ELSE 'place' END AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'raw' WHEN s_nationkey % 2 = 0 THEN 'stop' ELSE 'feature' END AS shape FROM supplier""")
+def place_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, own = F.col("s_suppkey"), lambda m, c: F.when(F.col("s_suppkey") % m == 0, F.col(c))
+    at = D.place_location(own(3, "s_acctbal"), own(4, "s_acctbal"), F.array((key + 0.25).cast("double"), (key + 0.5).cast("double")), own(5, "s_name"), F.lit("place"))
+    source = F.when(F.col("s_nationkey") % 2 == 0, D.STOP_SOURCE).otherwise("other")
+    shape = D.poi_shape(key % 2 != 0, source, F.lit("raw"), F.lit("stop"), F.lit("feature"))
+    return A.table(spark, sf_dir, "supplier").select("s_suppkey", at.alias("at"), shape.alias("shape")).select("s_suppkey", "at.*", "shape")
+
+
+@_query("""
+    SELECT 'tourism' AS source, 'venue' AS layer, p_partkey::VARCHAR AS id, 46.5::DOUBLE AS lat, 11.5::DOUBLE AS lon, CASE WHEN p_size % 2 = 0 THEN p_name END AS name, CASE WHEN p_size % 3 = 0 THEN p_brand END AS name_de, NULL::VARCHAR AS name_en, NULL::VARCHAR AS name_fr,
+           CASE WHEN p_size % 2 = 0 THEN p_name END AS name_it, '["touristic:' || replace(p_type, ' ', '_') || '"]' AS category_json,
+           CASE WHEN p_size % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN p_size % 3 = 0 THEN 1 ELSE 0 END AS n_titles, p_type AS tag FROM part""")
+def import_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.col("p_size")
+    title = lambda m, c: F.when(size % m == 0, F.struct(F.col(c).alias("Title")))
+    detail = F.map_filter(F.create_map(F.lit("it"), title(2, "p_name"), F.lit("de"), title(3, "p_brand")), lambda k, v: v.isNotNull())
+    places = A.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("Id"), F.struct(F.struct(F.lit(46.5).alias("Latitude"), F.lit(11.5).alias("Longitude")).alias("position")).alias("GpsPoints"), detail.alias("Detail"), F.array(F.struct(F.col("p_type").alias("Id"))).alias("Tags")
+    )
+    record = F.from_json("addendum_json_poi", "Detail map<string, struct<Title:string>>, Tags array<struct<Id:string>>")
+    rows = poi.touristic_rows(places, "tourism").withColumn("record", record)
+    return rows.select(*[c for c in rows.columns if c not in ("addendum_json_poi", "record")], F.size("record.Detail").alias("n_titles"), F.get("record.Tags", F.lit(0))["Id"].alias("tag"))
+
+
+@_query("""
+    WITH c AS (SELECT c_custkey, ['bz', 'me', 'papin'][c_custkey % 3 + 1] AS context, CASE WHEN c_nationkey % 2 = 0 THEN '1' ELSE '2.1' END AS version FROM customer),
+    f AS (SELECT context, version, feed FROM (VALUES ('bz'), ('me'), ('papin')) a(context), (VALUES ('1'), ('2.1')) b(version),
+          (VALUES ('system_information'), ('station_information'), ('station_status'), ('system_regions'), ('system_hours'), ('gbfs_versions'), ('vehicle_types'), ('free_bike_status')) d(feed)
+          WHERE (feed NOT IN ('gbfs_versions', 'vehicle_types') OR version = '2.1') AND (feed <> 'free_bike_status' OR context = 'me'))
+    SELECT context, version, feed, 'https://feeds/' || context || '/' || version || '/' || feed || '.json' AS url, count(*) AS stations FROM c JOIN f USING (context, version) GROUP BY ALL""")
+def feed_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    version = F.when(F.col("c_nationkey") % 2 == 0, "1").otherwise("2.1")
+    counts = A.table(spark, sf_dir, "customer").groupBy(F.get(F.array(*map(F.lit, feeds.CONTEXTS)), (F.col("c_custkey") % 3).cast("int")).alias("context"), version.alias("version")).agg(F.count(F.lit(1)).alias("stations"))
+    base = feeds.base_url({"host": "feeds:80", "x-forwarded-host": "feeds", "x-forward-proto": "https"})
+    lists = [feeds.feed_list(spark, c, v, base).select(F.lit(c).alias("context"), F.lit(f"{v:g}").alias("version"), F.col("name").alias("feed"), "url") for c in feeds.CONTEXTS for v in (1, feeds.VERSION)]
+    return relate.union_all(*lists).join(counts, ["context", "version"])
+
+
+@_query("""
+    WITH c AS (SELECT ['bz', 'me', 'papin'][c_custkey % 3 + 1] AS context, count(*) AS stations FROM customer GROUP BY 1)
+    SELECT context, 'odh_bikesharing_' || context AS system_id, CASE context WHEN 'papin' THEN NULL WHEN 'bz' THEN 'ios' ELSE 'android' END AS app_platform, CASE context WHEN 'papin' THEN 0 ELSE 7 END::INT AS n_days,
+           2::BIGINT AS n_versions, 2::BIGINT AS n_types, stations FROM c""")
+def system_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = A.table(spark, sf_dir, "customer").groupBy(F.get(F.array(*map(F.lit, feeds.CONTEXTS)), (F.col("c_custkey") % 3).cast("int")).alias("context")).agg(F.count(F.lit(1)).alias("stations"))
+    apps = {"bz": {"android": "a", "ios": "i"}, "me": {"android": "a"}, "papin": {}}
+
+    def system(c: str) -> DataFrame:
+        days = feeds.system_hours(spark, c).agg(F.coalesce(F.max(F.size("days")), F.lit(0)).alias("n_days"))
+        versions = feeds.versions(spark, c, feeds.VERSION, "http://feeds").agg(F.count(F.lit(1)).alias("n_versions"))
+        types = feeds.vehicle_types(spark, c).agg(F.count(F.lit(1)).alias("n_types"))
+        one = feeds.system_information(spark, c, **apps[c]).select(F.lit(c).alias("context"), "system_id", "app_platform")
+        return one.join(days).join(versions).join(types)  # a row each
+
+    return relate.union_all(*map(system, feeds.CONTEXTS)).join(counts, "context")
+
+
+@_query("""
+    SELECT n_nationkey, r_name, CASE r_regionkey % 3 WHEN 0 THEN 120 WHEN 1 THEN 600 ELSE 30 END::INT AS polling_interval, CASE r_regionkey % 3 WHEN 1 THEN NULL ELSE 'feeds.example' END AS host, 443 AS port
+    FROM nation JOIN region ON r_regionkey = n_regionkey""")
+def layered_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .config import endpoints
+
+    service = {"e0": {"polling_interval": 120}, "e1": {"host": None}, "e2": {"polling_interval": 30}, "default": {"polling_interval": 600}}
+    merged = endpoints(service, {"default": {"polling_interval": 5, "host": "feeds.example", "port": 443}})
+    rows = spark.createDataFrame([(k, v["polling_interval"], v["host"], v["port"]) for k, v in merged.items()], "endpoint string, polling_interval int, host string, port int")
+    regions = A.table(spark, sf_dir, "region").withColumn("endpoint", F.concat(F.lit("e"), (F.col("r_regionkey") % 3).cast("string"))).join(rows, "endpoint")
+    return A.table(spark, sf_dir, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name", "polling_interval", "host", "port")

@@ -84,7 +84,8 @@ def replace_partitions(incoming: DataFrame, path: str, source: str = "source") -
 
 
 def publish(df: DataFrame, path: str) -> str:
-    """Writes a new version beside the old ones, and then moves the pointer file, so readers see a whole version."""
+    """Writes a new version beside the old ones, and then renames a pointer file over the old one, so there is a whole
+    version for readers at any time, also if this ends midway. A store without renames that overwrite refuses."""
     spark = df.sparkSession
     version = uuid.uuid4().hex
     df.write.parquet(f"{path}/{version}")
@@ -94,8 +95,10 @@ def publish(df: DataFrame, path: str) -> str:
     out = fs.create(new, True)
     out.write(bytearray(version.encode()))
     out.close()
-    fs.delete(pointer, False)
-    fs.rename(new, pointer)
+    files = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    overwrite = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(new, pointer, overwrite)
     return version
 
 
