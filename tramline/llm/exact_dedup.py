@@ -1,7 +1,7 @@
 """Exact deduplication by an exchange of Golomb-coded fingerprints.
 
-Each map partition sends the sorted fingerprints of its rows, Golomb-coded, to the owners of the hash ranges.
-Owners send back one bit per fingerprint: does it occur again anywhere? Only rows with a set bit are suspects;
+Each map partition sends the sorted distinct fingerprints of its rows, Golomb-coded, to the owners of the hash
+ranges; the digests themselves stay where they are. Owners send back one bit per fingerprint: does it occur again anywhere? Only rows with a set bit are suspects;
 their texts are shuffled and grouped byte by byte, after a partial grouping where they lie.
 """
 
@@ -22,6 +22,8 @@ from .shared import packed, partitions, sized, unpacked, written
 BITS = 44
 #: Up to so many suspect digests (32 bytes each) are broadcast; more of them are joined by a shuffle.
 BROADCAST_DIGESTS = 200_000
+#: Rows whose fingerprints are coded together, and chunks of rows whose bitmaps are broadcast at most.
+CHUNK, BROADCAST_CHUNKS = 20_000, 10_000
 
 
 def golomb_encode(values: np.ndarray, bits: int) -> tuple[int, bytes]:
@@ -44,77 +46,101 @@ def golomb_decode(n: int, k: int, code: bytes) -> np.ndarray:
     return np.cumsum((quotients.astype(np.uint64) << np.uint64(k)) + low.sum(axis=1, dtype=np.uint64), dtype=np.uint64)
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part, pos = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        shas, sizes = [], []
-        for value in batch.column(1).cast(pa.large_binary()):
-            data = value.as_buffer() if value.is_valid else b""
-            shas.append(hashlib.sha256(data).digest())
-            sizes.append(len(data))
-        n = batch.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([part] * n, pa.int32()), pa.array(range(pos, pos + n), pa.int64()), batch.column(0), pa.array(sizes, pa.int64()), pa.array(shas, pa.binary())],
-            names=["part", "pos", "doc_id", "n_bytes", "sha"],
-        )
-        pos += n
-
-
-def _fingerprints(table: pa.Table, owners: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Owner and fingerprint of each row, and the order of rows by both."""
-    shas = np.frombuffer(b"".join(table.column("sha").to_pylist()), dtype=">u8").reshape(-1, 4)
-    owner = (shas[:, 0] % owners).astype(np.int64)
-    value = (shas[:, 1] >> (64 - BITS)).astype(np.uint64)
-    return owner, value, np.lexsort((value, owner))
-
-
-def _send(owners: int):
-    def send(table: pa.Table) -> pa.Table:
-        owner, value, order = _fingerprints(table, owners)
-        rows = []
-        for o, at in zip(*np.unique(owner[order], return_index=True)):
-            mine = order[at : at + int((owner == o).sum())]
-            k, code = golomb_encode(value[mine], BITS)
-            rows.append({"owner": int(o), "part": table.column("part")[0].as_py(), "n": len(mine), "k": k, "code": code})
-        return pa.Table.from_pylist(rows, schema=pa.schema([("owner", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), ("k", pa.int32()), ("code", pa.binary())]))
-
-    return send
+_CODED = "part int, chunk int, first long, doc_ids array<{kind}>, sizes array<long>, shas binary, blocks array<struct<owner:int,n:int,k:int,code:binary,twice:binary>>"
+_BLOCKS = pa.list_(pa.struct([("owner", pa.int32()), ("n", pa.int32()), ("k", pa.int32()), ("code", pa.binary()), ("twice", pa.binary())]))
+
+
+def _fingerprints(shas: bytes, owners: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct fingerprints with their owners above them, sorted; the place of each row's among these, and how many rows have each."""
+    words = np.frombuffer(shas, dtype=">u8").reshape(-1, 4)
+    every = (words[:, 0] % np.uint64(owners)).astype(np.uint64) << np.uint64(BITS) | words[:, 1].astype(np.uint64) >> np.uint64(64 - BITS)
+    return np.unique(every, return_inverse=True, return_counts=True)
+
+
+def _code(owners: int):
+    """(doc_id, text) to chunks of rows: their digests, and coded fingerprints for each owner, with a bit for those of several rows."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, first, chunk = TaskContext.get().partitionId(), 0, 0
+        ids, sizes, shas = [], [], []
+
+        def flush() -> pa.RecordBatch:
+            packed_shas = b"".join(shas)
+            distinct, _, counts = _fingerprints(packed_shas, owners)
+            owner, value = (distinct >> np.uint64(BITS)).astype(np.int64), distinct & np.uint64((1 << BITS) - 1)
+            blocks = []
+            starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            for a, b in zip(starts.tolist(), np.append(starts[1:], len(owner)).tolist()):
+                k, coded = golomb_encode(value[a:b], BITS)
+                blocks.append({"owner": int(owner[a]), "n": b - a, "k": k, "code": coded, "twice": np.packbits(counts[a:b] > 1).tobytes()})
+            lists = [pa.concat_arrays(ids), pa.array(sizes, pa.int64())]
+            columns = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([chunk], pa.int32()), pa.array([first], pa.int64()), *columns, pa.array([packed_shas], pa.binary()), pa.array([blocks], _BLOCKS)],
+                names=["part", "chunk", "first", "doc_ids", "sizes", "shas", "blocks"],
+            )
+
+        for batch in batches:
+            ids.append(batch.column(0))
+            for value in batch.column(1).cast(pa.large_binary()):
+                data = value.as_buffer() if value.is_valid else b""
+                shas.append(hashlib.sha256(data).digest())
+                sizes.append(len(data))
+            if len(shas) >= CHUNK:
+                yield flush()
+                first, chunk = first + len(shas), chunk + 1
+                ids, sizes, shas = [], [], []
+        if shas:
+            yield flush()
+
+    return code
 
 
 def _answer(table: pa.Table) -> pa.Table:
+    """An owner's bit for each fingerprint of each block: does it occur in another block, or twice in this one?"""
     blocks = table.to_pylist()
-    values = [golomb_decode(b["n"], b["k"], b["code"]) for b in blocks]
-    _, inverse, counts = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
-    again = counts[inverse] > 1
-    out, at = [], 0
+    _, inverse, counts = np.unique(np.concatenate([golomb_decode(b["n"], b["k"], b["code"]) for b in blocks]), return_inverse=True, return_counts=True)
+    again, at, out = counts[inverse] > 1, 0, []
     for b in blocks:
-        out.append({"part": b["part"], "owner": b["owner"], "n": b["n"], "bits": np.packbits(again[at : at + b["n"]]).tobytes()})
+        bits = again[at : at + b["n"]] | np.unpackbits(np.frombuffer(b["twice"], np.uint8))[: b["n"]].astype(bool)
+        out.append({"part": b["part"], "chunk": b["chunk"], "owner": b["owner"], "n": b["n"], "bits": np.packbits(bits).tobytes()})
         at += b["n"]
-    return pa.Table.from_pylist(out, schema=pa.schema([("part", pa.int32()), ("owner", pa.int32()), ("n", pa.int32()), ("bits", pa.binary())]))
+    return pa.Table.from_pylist(out, schema=pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("owner", pa.int32()), ("n", pa.int32()), ("bits", pa.binary())]))
 
 
 def _mark(owners: int):
-    def mark(table: pa.Table, replies: pa.Table) -> pa.Table:
-        owner, _, order = _fingerprints(table, owners)
-        bits = {r["owner"]: np.unpackbits(np.frombuffer(r["bits"], np.uint8))[: r["n"]] for r in replies.to_pylist()}
-        suspect = np.zeros(table.num_rows, dtype=bool)
-        suspect[order] = np.concatenate([bits[o] for o in sorted(bits)]).astype(bool) if bits else False
-        return table.append_column("suspect", pa.array(suspect))
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                shas = row.column("shas")[0].as_py()
+                n = len(shas) // 32
+                _, place, _ = _fingerprints(shas, owners)
+                replies = sorted(row.column("replies")[0].as_py(), key=lambda r: r["owner"])
+                again = np.concatenate([np.unpackbits(np.frombuffer(r["bits"], np.uint8))[: r["n"]] for r in replies]).astype(bool)
+                fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(32), n, [None, pa.py_buffer(shas)]).cast(pa.binary())
+                first = row.column("first")[0].as_py()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, row.column("part")[0].as_py(), np.int32)), pa.array(first + np.arange(n)), row.column("doc_ids").flatten(), row.column("sizes").flatten(), fixed, pa.array(again[place.ravel()])],
+                    names=["part", "pos", "doc_id", "n_bytes", "sha", "suspect"],
+                )
 
     return mark
 
 
-
 def suspects(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per document: part, pos (its place), doc_id, n_bytes, sha, suspect (its fingerprint occurs again)."""
+    """A row per document: part, pos (its place), doc_id, n_bytes, sha, suspect (its fingerprint occurs again).
+
+    Digests stay where they were made; codes go to the owners, one for each distinct fingerprint of a chunk, and bitmaps come back.
+    """
     kind = docs.schema[doc_id].dataType.simpleString()
-    schema = f"part int, pos long, doc_id {kind}, n_bytes long, sha binary"
-    rows = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_digests, schema), "digests")
     owners = partitions(docs.sparkSession)
-    blocks = rows.select("part", "pos", "sha").groupBy("part").applyInArrow(_send(owners), "owner int, part int, n int, k int, code binary")
-    replies = blocks.groupBy("owner").applyInArrow(_answer, "part int, owner int, n int, bits binary")
-    marked = rows.groupBy("part").cogroup(replies.groupBy("part")).applyInArrow(_mark(owners), schema + ", suspect boolean")
-    return written(marked, "suspects")
+    rows = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_code(owners), _CODED.format(kind=kind)), "digests")
+    blocks = rows.select("part", "chunk", F.explode("blocks").alias("b")).select("part", "chunk", "b.*")
+    replies = blocks.groupBy("owner").applyInArrow(_answer, "part int, chunk int, owner int, n int, bits binary")
+    replies = written(replies.groupBy("part", "chunk").agg(F.collect_list(F.struct("owner", "n", "bits")).alias("replies")), "replies")
+    marked = rows.drop("blocks").join(sized(replies, BROADCAST_CHUNKS), ["part", "chunk"])
+    return written(marked.mapInArrow(_mark(owners), f"part int, pos long, doc_id {kind}, n_bytes long, sha binary, suspect boolean"), "suspects")
 
 
 def _suspect_rows(docs: DataFrame, marked: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
