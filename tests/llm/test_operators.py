@@ -538,7 +538,9 @@ def brute_copies(rows):
     return sorted((d, max(groups[t]), len(groups[t]), d == max(groups[t]), hashlib.sha256(t).hexdigest()) for d, t in rows)
 
 
-def test_exact_dedup(docs):
+@pytest.mark.parametrize("chunk", [exact_dedup.CHUNK, 4])
+def test_exact_dedup(docs, monkeypatch, chunk):
+    monkeypatch.setattr(exact_dedup, "CHUNK", chunk)
     assert sorted(map(tuple, exact_dedup.duplicate_groups(docs).collect())) == brute_copies(pairs(docs))
     kept = exact_dedup.keep_one(docs)
     assert kept.columns == docs.columns
@@ -568,9 +570,13 @@ def test_golomb_codes():
 # packing
 
 
-def test_packing_is_a_round_trip(docs):
+@pytest.mark.parametrize("held", [packing.OPEN_PIECES, 20])
+def test_packing_is_a_round_trip(docs, monkeypatch, held):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(packing, "OPEN_PIECES", held)
+    groups = 1 if held > 20 else 10
+
     ranks, path = queries.tokenizer_files()
     definition = Tokenizer.from_file(path)
     pieces = packing.pack(docs, ranks, path, size=256).collect()
@@ -591,7 +597,7 @@ def test_packing_is_a_round_trip(docs):
         parts.sort()
         assert [o for o, _ in parts] == np.cumsum([0] + [n for _, n in parts])[:-1].tolist()
         fill.append(sum(n for _, n in parts))
-    assert max(fill) <= 256 and sum(f < 256 for f in fill) <= 3
+    assert max(fill) <= 256 and sum(f < 256 for f in fill) <= groups
 
 
 def test_sum_of_squares_rule():
@@ -603,6 +609,29 @@ def test_sum_of_squares_rule():
     assert [x[4:] for x in put(1)] == [(0, 0), (0, 6), (0, 9)] and p.levels[9] == 0
 
 
+def test_open_windows_of_many_partitions_are_placed_by_the_rule(spark):
+    """Few windows are cut: with rests of halves and quarters of a window, none."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " a" * (int(rng.choice([31, 31, 15])))) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    pieces = packing.pack(df, *queries.tokenizer_files(), size=64).collect()
+    assert sum(p["length"] != p["doc_tokens"] for p in pieces) <= 2
+    assert len({p["sequence_id"] for p in pieces}) == -(-sum(p["length"] for p in pieces) // 64)
+
+
+def test_both_libraries_give_the_same_ids():
+    from tokenizers import Tokenizer
+
+    files = queries.tokenizer_files()
+    encode, definition = packing.encoder(*files), Tokenizer.from_file(files[1])
+    rng = np.random.default_rng(2)
+    ranges = [(0, 0x20), (0x20, 0x7F), (0x80, 0x250), (0x300, 0x370), (0x600, 0x700), (0x900, 0x980), (0x2000, 0x2070), (0x3040, 0x30FF), (0x4E00, 0x5000), (0xAC00, 0xAD00), (0xFE00, 0xFF00), (0x1F300, 0x1F700), (0xE0000, 0xE0080)]
+    for _ in range(4000):
+        parts = [ranges[k] for k in rng.integers(0, len(ranges), rng.integers(1, 5))]
+        text = "".join(chr(int(rng.integers(*r))) + " '\n\t"[int(rng.integers(0, 4))] * int(rng.integers(0, 3)) for r in parts for _ in range(int(rng.integers(1, 6))))
+        assert encode(text) == definition.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_special_tokens_in_text():
     encode = packing.encoder(*queries.tokenizer_files())
     assert encode("a<|endoftext|>") == [64, 50256] and encode("") == []

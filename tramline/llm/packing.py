@@ -1,8 +1,9 @@
 """Packing of documents into windows of a fixed length, online, by the sum-of-squares rule.
 
 A document's whole windows leave at once. Its rest goes to the fill level that makes the sum over levels of the
-squared number of windows at that level least; the level array holds those numbers. What is still open when a
-partition ends is cut and joined, so that a partition leaves one window with padding at most.
+squared number of windows at that level least; the level array holds those numbers. Pieces of windows that are open
+when a partition ends meet those of other partitions, in groups of a bounded size, and are placed again by the same
+rule, larger ones first. Only what is open then is cut and joined, so that a group leaves one window with padding at most.
 """
 
 from __future__ import annotations
@@ -14,7 +15,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from .shared import written
+
+#: Pieces of open windows that are placed together, about; each holds less ids than a window.
+OPEN_PIECES = 40_000
+#: Sequences of such pieces are numbered from here.
+_LATER = 1 << 61
 _ENCODERS: dict = {}
 
 
@@ -87,6 +95,19 @@ class Packer:
             yield (doc, start, ids, n, window, offset)
             offset += len(ids)
 
+    def left(self) -> Iterator[tuple]:
+        """The pieces of open windows, without a window."""
+        for windows in self.open:
+            for pieces in windows:
+                for doc, start, ids, n in pieces:
+                    yield (doc, start, ids, n, None, None)
+        self.levels[:], self.open = 0, [[] for _ in range(self.size + 1)]
+
+    def again(self, pieces: list[tuple]) -> Iterator[tuple]:
+        """Places pieces by the rule, larger ones first."""
+        for piece in sorted(pieces, key=lambda p: -len(p[2])):
+            yield from self._put(piece, len(piece[2]))
+
     def drain(self) -> Iterator[tuple]:
         """Fills up what is open with what is open, fullest first, cutting pieces where a window is full."""
         held, room = [], self.size
@@ -125,22 +146,44 @@ def _pack(size: int, end: int, ranks_path: str, tokenizer_path: str):
                 if len(out) >= 2_000:
                     yield _batch(out, kind)
                     out = []
-        out += packer.drain()
-        if out:
-            yield _batch(out, kind)
+        out += packer.left()
+        for a in range(0, len(out), 2_000):
+            yield _batch(out[a : a + 2_000], kind)
 
     return pack
 
 
+def _place(size: int):
+    """Pieces of open windows, a group of them, to pieces in sequences."""
+
+    def place(key: tuple, table: pa.Table) -> pa.Table:
+        packer = Packer(size, _LATER + (key[0].as_py() << 40))
+        columns = [table.column(c).to_pylist() for c in ("doc_id", "start", "ids", "doc_tokens")]
+        pieces = [(doc, start, np.frombuffer(ids, "<u4"), n) for doc, start, ids, n in zip(*columns)]
+        out = [*packer.again(pieces), *packer.drain()]
+        return pa.Table.from_batches([_batch(out, table.schema.field("doc_id").type)])
+
+    return place
+
+
 def pack(docs: DataFrame, ranks_path: str, tokenizer_path: str, size: int = 1024, end: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Puts the ids of each text, and then the id `end`, into sequences of at most `size` ids.
 
     Returns a row per piece: doc_id, start (ids of its document before it), length, ids (unsigned 32-bit, little
-    endian), doc_tokens, sequence_id, offset. Every id lies in one piece; offsets of a sequence have no gaps. There
-    is no shuffle: each partition packs the rows that it reads, and sequence_id starts with the partition's number.
-    A null or empty text is the id `end` alone; a null doc_id stays null; equal rows are packed one by one; an empty
-    table gives no pieces. Other columns are not read.
+    endian), doc_tokens, sequence_id, offset. Every id lies in one piece; offsets of a sequence have no gaps.
+    sequence_id starts with the number of the partition, or of the group of open windows. What is shuffled is pieces of
+    open windows, some hundreds of windows of a partition. A null or empty text is the id `end` alone; a null doc_id
+    stays null; equal rows are packed one by one; an empty table gives no pieces. Other columns are not read.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return docs.select(doc_id, text).mapInArrow(_pack(size, end, ranks_path, tokenizer_path), schema)
+    placed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_pack(size, end, ranks_path, tokenizer_path), schema)
+    placed = written(placed, "pieces")
+    rest = placed.filter("sequence_id is null")
+    groups = -(-rest.count() // OPEN_PIECES)
+    out = placed.filter("sequence_id is not null")
+    if groups:
+        # dealt by place in the table, so that equal rows are spread too
+        rest = written(rest.withColumn("deal", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))), "open-pieces")
+        out = out.unionAll(rest.groupBy("deal").applyInArrow(_place(size), schema))
+    return out.withColumnRenamed("doc_id", doc_id)
