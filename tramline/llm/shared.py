@@ -12,9 +12,11 @@ _FOLDER = "tramline-scratch"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one only where that is unset, as in tests."""
+    """The folder named by spark.checkpoint.dir. Where that is unset, a local one in local mode, as in tests, and an error on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-tramline-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{_FOLDER}/{spark.sparkContext.applicationId}"
