@@ -21,6 +21,8 @@ from .shared import packed, partitions, unpacked, written
 
 #: Bytes of text in a bucket, on average.
 BUCKET_BYTES = 32 << 20
+#: Tasks of the second pass at most, if Spark's own number of shuffle partitions is not larger; a task takes its buckets one after the other.
+REDUCERS = 20_000
 #: Up to so many buckets, their offsets (16 bytes each) are broadcast.
 BROADCAST_BUCKETS = 100_000
 
@@ -73,7 +75,8 @@ def shard(docs: DataFrame, shards: int = 16, seed: int = 17, doc_id: str = "doc_
     n = max(partitions(spark), math.ceil(total / bucket_bytes))
     scatter = packed(docs).withColumn("_scatter", F.xxhash64(F.lit(seed), F.col("row")[doc_id], F.col("row")[text]))
     scatter = scatter.withColumn("_bucket", F.pmod("_scatter", F.lit(n)).cast("int"))
-    dealt = scatter.repartitionById(n, F.col("_bucket")).sortWithinPartitions("_bucket", "_scatter", F.col("row")[doc_id])
+    tasks = min(n, max(partitions(spark), REDUCERS))
+    dealt = scatter.repartitionById(tasks, F.floor(F.col("_bucket").cast("long") * tasks / n).cast("int")).sortWithinPartitions("_bucket", "_scatter", F.col("row")[doc_id])
     schema = T.StructType([*dealt.schema.fields, T.StructField("_pos", T.LongType())])
     rows = written(dealt.mapInArrow(_shuffle(seed), schema).drop("_scatter"), "buckets")
     counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
