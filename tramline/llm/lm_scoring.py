@@ -24,6 +24,8 @@ from .text import LETTERS, U, Words, chunks
 CLASSES = 64
 #: Words on each side, size of the hidden layer, rounds, words in a step, learning rate.
 SIDE, HIDDEN, ROUNDS, STEP, RATE = 2, 24, 2, 4096, 0.15
+#: Bytes of text that a copy is trained on in a round.
+COPY_BYTES = 16 << 20
 #: Words that are counted or scored together, about; each distinct one of them is joined once.
 BLOCK = 1_500_000
 #: Rows that an average takes at once, and parts that the parameters travel in.
@@ -62,31 +64,44 @@ def _symbols(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, around, w.row
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
+def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials, in place of the logits, and their sums by row; beyond 60, which float32 could not hold, logits are cut."""
+    np.clip(logits, -60, 60, out=logits)
+    np.exp(logits, out=logits)
+    return logits, logits @ np.ones(CLASSES, logits.dtype)
 
 
-def forward(p: dict, ids: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Hidden layer, probabilities of the first and second classes, log-probabilities of the symbols."""
-    hidden = p["bias"] + sum(p["embed"][c][around[:, c]] for c in range(around.shape[1]))
-    hidden = np.tanh(hidden)
-    a, b, row = ids // CLASSES, ids % CLASSES, np.arange(len(ids))
-    first = _softmax(hidden @ p["w1"] + p["b1"])
-    second = _softmax(hidden @ p["w2"] + p["b2"][a])
-    return hidden, first, second, np.log(first[row, a] + 1e-12) + np.log(second[row, b] + 1e-12)
+def _logits(p: dict, ids: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hidden layer, and logits of the first and of the second classes, given the first."""
+    hidden = np.take(p["embed"][0], around[:, 0], axis=0)
+    for c in range(1, around.shape[1]):
+        hidden += np.take(p["embed"][c], around[:, c], axis=0)
+    hidden += p["bias"]
+    np.tanh(hidden, out=hidden)
+    first, second = hidden @ p["w1"], hidden @ p["w2"]
+    first += p["b1"]
+    second += np.take(p["b2"], ids // CLASSES, axis=0)
+    return hidden, first, second
+
+
+def log_probabilities(p: dict, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
+    """Of the symbols, given those around them."""
+    _, first, second = _logits(p, ids, around)
+    row = np.arange(len(ids))
+    own = first[row, ids // CLASSES], second[row, ids % CLASSES]
+    return sum(np.clip(x, -60, 60) - np.log(_exp(logits)[1]) for x, logits in zip(own, (first, second)))
 
 
 def learn(p: dict, squares: dict, ids: np.ndarray, around: np.ndarray) -> None:
     """One step of Adagrad on the mean log-loss, times the square root of the words, of a run of words."""
     n, row = len(ids), np.arange(len(ids))
-    hidden, first, second, _ = forward(p, ids, around)
+    hidden, first, second = _logits(p, ids, around)
     a, b = ids // CLASSES, ids % CLASSES
-    first[row, a] -= 1
-    second[row, b] -= 1
     scale = np.float32(1 / np.sqrt(n))
-    first *= scale
-    second *= scale
+    for logits, own in ((first, a), (second, b)):
+        _, total = _exp(logits)
+        logits *= (scale / total)[:, None]
+        logits[row, own] -= scale
     back = (first @ p["w1"].T + second @ p["w2"].T) * (1 - hidden * hidden)
     given = np.zeros((n, CLASSES), dtype=np.float32)
     given[row, a] = 1
@@ -139,10 +154,18 @@ def _average(table: pa.Table) -> pa.Table:
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> np.ndarray:
-    """Parameters after one pass over all texts, in ROUNDS rounds of averaging; each round reads the documents whose hash is its own."""
+    """Parameters after one pass over all texts, in ROUNDS rounds of averaging; each round reads the documents whose hash is its own.
+
+    Documents are dealt to copies by hash, COPY_BYTES to each, and sorted by it, so files and partitions don't matter;
+    averages are summed in an order of their own, so they can differ in the last digits.
+    """
     spark, flat = docs.sparkSession, initial()
+    docs = docs.select(F.xxhash64(F.lit(11), doc_id, text).alias("deal"), F.col(text).alias("text"))
+    total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    parts = max(1, round(total / ROUNDS / COPY_BYTES))
     for r in range(ROUNDS):
-        mine = docs.filter(F.pmod(F.xxhash64(F.lit(11), doc_id, text), F.lit(ROUNDS)) == r).select(text)
+        mine = docs.filter(F.pmod("deal", F.lit(ROUNDS)) == r)
+        mine = mine.repartitionById(parts, F.pmod(F.shiftright("deal", 8), F.lit(parts)).cast("int")).sortWithinPartitions("deal", "text").select("text")
         start = spark.sparkContext.broadcast(flat)  # of a fixed size
         copies = written(mine.mapInArrow(_train(start), _COPY), "copies")
         while True:
@@ -196,7 +219,7 @@ def _scored(p: dict, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, n
     for i, j, data, at in chunks(column):
         w = Words(data, at, LETTERS)
         ids, around, row = _symbols(w)
-        log = [forward(p, ids[a : a + STEP], around[a : a + STEP])[3] for a in range(0, len(ids), STEP)]
+        log = [log_probabilities(p, ids[a : a + STEP], around[a : a + STEP]) for a in range(0, len(ids), STEP)]
         yield i, j, np.bincount(row, minlength=j - i), np.bincount(row, weights=np.concatenate(log), minlength=j - i) if log else np.zeros(j - i), w.hashes
 
 
