@@ -38,6 +38,15 @@ def test_shards_are_even_and_keep_every_row(docs, texts, bucket_bytes):
     assert rows != sorted(rows, key=lambda r: (r["_shard"], r["doc_id"]))
 
 
+def test_buckets_share_tasks(docs, monkeypatch):
+    """More buckets than tasks: the same result as with a task each."""
+    each = sharding.shard(docs, shards=5, bucket_bytes=3_000).select("doc_id", "_shard", "_slot").collect()
+    monkeypatch.setattr(sharding, "REDUCERS", 1)
+    monkeypatch.setattr(sharding, "partitions", lambda spark: 3)
+    few = sharding.shard(docs, shards=5, bucket_bytes=3_000).select("doc_id", "_shard", "_slot")
+    assert sorted(few.collect()) == sorted(each)
+
+
 def test_sharding_is_repeatable_and_seeded(docs):
     place = lambda seed: {(r["doc_id"]): (r["_shard"], r["_slot"]) for r in sharding.shard(docs.select("doc_id", "text"), 16, seed=seed).collect()}
     assert place(1) == place(1) != place(2)
@@ -370,6 +379,49 @@ def test_lm_prefers_text_like_the_corpus(spark):
     assert sum(got[i] > got[100 + i] for i in range(30)) >= 28
 
 
+def test_training_does_not_depend_on_partitions(docs, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "COPY_BYTES", 40_000)
+    one, many = (lm_scoring.train(docs.repartition(n, *by)) for n, by in ((1, ()), (5, ("lang",))))
+    assert not np.array_equal(one, lm_scoring.initial()) and np.allclose(one, many, atol=1e-5)
+
+
+def test_a_step_of_training_is_that_of_the_plain_network():
+    """Against derivatives word by word."""
+    rng = np.random.default_rng(4)
+    n, c = 7, lm_scoring.CLASSES
+    flat = rng.normal(0, 0.3, len(lm_scoring.initial())).astype(np.float32)
+    ids, around = rng.integers(0, c * c, n), rng.integers(0, c * c + 1, (n, len(lm_scoring._OFFSETS)))
+    around[3] = around[2]
+    before = {k: v.astype(float) for k, v in lm_scoring.unpack(flat.copy()).items()}
+    grads, logs = {k: np.zeros_like(v) for k, v in before.items()}, []
+    for t, x in zip(ids, around):
+        a, b = divmod(int(t), c)
+        h = np.tanh(before["bias"] + sum(before["embed"][o][w] for o, w in enumerate(x)))
+        back, log = np.zeros_like(h), 0.0
+        for w, bias, own in (("w1", before["b1"], a), ("w2", before["b2"][a], b)):
+            z = h @ before[w] + bias
+            q = np.exp(z) / np.exp(z).sum()
+            log += np.log(q[own])
+            g = q - (np.arange(c) == own)
+            grads[w] += np.outer(h, g)
+            if w == "w1":
+                grads["b1"] += g
+            else:
+                grads["b2"][a] += g
+            back += before[w] @ g
+        back *= 1 - h * h
+        grads["bias"] += back
+        for o, w in enumerate(x):
+            grads["embed"][o][w] += back
+        logs.append(log)
+    p, squares = lm_scoring.unpack(flat), {k: np.full(s, 1.0, np.float32) for k, s in lm_scoring._SHAPES.items()}
+    assert np.allclose(lm_scoring.log_probabilities(p, ids, around), logs, atol=1e-4)
+    lm_scoring.learn(p, squares, ids, around)
+    for k, g in grads.items():
+        g = g / np.sqrt(n)
+        assert np.allclose(p[k], before[k] - lm_scoring.RATE * g / np.sqrt(1 + g * g), atol=1e-4), k
+
+
 @pytest.mark.parametrize("block", [lm_scoring.BLOCK, 50])
 def test_lm_scores_are_of_words(spark, docs, odd, empty, monkeypatch, block):
     """The network's score of classes and, by counts over all texts, each word's share of its class; a table that grows with the words."""
@@ -667,6 +719,30 @@ def test_toxicity_learns_and_generalises(spark):
     assert 0 < np.count_nonzero(weights) < 2_000
 
 
+def test_ftrl_is_the_plain_recurrence():
+    rng = np.random.default_rng(6)
+    model, z, n = toxicity.Ftrl(50), collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(i):
+        l1 = 0.0 if i == 50 else toxicity.L1
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(3000):
+        at = np.unique(rng.integers(0, 50, rng.integers(0, 9)))
+        label = int(rng.random() < (0.9 if 3 in at else 0.1))
+        model.learn(at, label)
+        used = [*at.tolist(), 50]
+        w = {i: weight(i) for i in used}
+        g = 1 / (1 + math.exp(-sum(w.values()))) - label
+        for i in used:
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / toxicity.ALPHA * w[i]
+            n[i] += g * g
+    got = model.weights(np.arange(51))
+    assert np.allclose(got, [weight(i) for i in range(51)]) and np.count_nonzero(got) > 1 and got[3] == max(got)
+
+
 def test_toxicity_labels_out_of_bounds_do_not_matter(spark):
     docs = spark.createDataFrame([(i, f"text {i} {'bad' if i % 2 else 'good'}") for i in range(80)], "doc_id long, text string")
     fit = lambda rows: toxicity.fit(docs, spark.createDataFrame(rows, "doc_id long, toxic int"), ~toxicity.held_out())

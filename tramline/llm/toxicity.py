@@ -25,7 +25,8 @@ PLACES = 1 << 20
 TRAIN_ROWS = 20_000
 #: Bytes at the start of a word that make a feature of their own, if the word is longer.
 STEMS = (4, 5, 6)
-#: Passes over the training rows, learning rate, its offset, L1 and L2 terms.
+#: Passes over the training rows, learning rate, its offset, L1 and L2 terms. Chosen among 16 settings by rows that may
+#: be learnt from alone: fitted where the remainder is 0 or 3, judged where it is 1. Half or twice the L1 term does about as well.
 EPOCHS, ALPHA, BETA, L1, L2 = 5, 0.5, 1.0, 4.0, 0.1
 
 
