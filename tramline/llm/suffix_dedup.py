@@ -33,7 +33,8 @@ HOT_CONTEXTS = 20_000
 SYMBOLS = 250_000
 #: Owners of hash ranges for each partition of a shuffle; a task takes its owners one after the other.
 OWNERS = 4
-#: Up to so many rows (anchor keys, or texts with their places), tables are broadcast; larger ones are joined by a shuffle.
+#: Up to so many texts, their places are broadcast, so that texts stay where they are; more are joined by a shuffle.
+#: Contexts, of which there are many more, are always joined by a shuffle.
 BROADCAST_ROWS = 400_000
 _PLACE = U((1 << 32) - 1)  # places in a chunk, which is a text at most or small texts; the hash above them decides first
 
@@ -288,8 +289,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
     each = written(each, "each-context")
     keys = each.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("all"), F.min("at.sid").alias("lo"), F.max("top").alias("hi"))
     keys = keys.filter("all > 1").select("key", "kinds", (F.col("lo") < F.col("hi")).alias("wide"))
-    each = written(each.join(limited(written(keys, "keys")), "key").select("key", "context", "more", "copies", "at", "kinds", "wide"), "shared-contexts")
-    shared = written(contexts.join(limited(each), ["key", "context", "more"]), "shared")
+    each = written(each.join(written(keys, "keys"), "key").select("key", "context", "more", "copies", "at", "kinds", "wide"), "shared-contexts")
+    shared = written(contexts.join(each, ["key", "context", "more"]), "shared")
     whole = shared.filter("copies > 1").select("sid", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
 
     mixed = shared.filter("kinds > 1 and sid = at.sid and anchor = at.anchor").select("sid", "anchor", "first", "last", (F.col("kinds") > hot).alias("hot"))
