@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .shared import written
 
 #: Pieces of open windows that are placed together, about; each holds less ids than a window.
-OPEN_PIECES = 40_000
+OPEN_PIECES = 8_000
 #: Sequences of such pieces are numbered from here.
 _LATER = 1 << 61
 _ENCODERS: dict = {}
