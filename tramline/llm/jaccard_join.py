@@ -36,7 +36,7 @@ ORDER_SHINGLES = 2_000_000
 #: Up to so many ids of documents are broadcast to pick their rows; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Shingles that a task holds before it sends them.
-HELD = 500_000
+HELD = 250_000
 #: Owners of hash ranges for each partition of a shuffle; a task takes its owners one after the other.
 OWNERS = 4
 #: Times what similar sets share at least: so much makes a set join another. It decides on groups, not on links.

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _FOLDER = "tramline-scratch"
-#: Rows that go to a Python task at once while scratch tables are made; Spark's own number is meant for short rows, not for texts.
+#: Rows that go to a Python task at once, in a session that has made scratch tables; Spark's own number is meant for short rows, not for texts.
 ARROW_ROWS = 2_000
 _ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -29,12 +29,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it again: this cuts the lineage, and lost executors don't lose it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    schema, rows = df.schema, spark.conf.get(_ARROW)
-    spark.conf.set(_ARROW, min(int(rows), ARROW_ROWS) if int(rows) > 0 else ARROW_ROWS)
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(_ARROW, rows)
+    schema = df.schema
+    if not 0 < int(spark.conf.get(_ARROW)) <= ARROW_ROWS:
+        spark.conf.set(_ARROW, ARROW_ROWS)
+    df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

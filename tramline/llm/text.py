@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,6 +66,17 @@ def chunks(column: pa.Array, size: int = _CHUNK) -> Iterator[tuple[int, int, np.
         j = max(i + 1, int(np.searchsorted(at, at[i] + size, side="right")) - 1)
         yield i, j, data[at[i] : at[j]], at[i : j + 1] - at[i]
         i = j
+    if n:
+        _give_back()
+
+
+def _give_back() -> None:
+    """Returns free memory to the system, which else stays with the Python worker for as long as it is reused."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
 
 
 def byte_table(inside, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
