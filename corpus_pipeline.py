@@ -40,9 +40,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of 1024 tokens: a row per piece."""
+    """Packs what is left into sequences of 1024 tokens: a row per piece, with its ids (unsigned 32-bit, little endian)."""
     pieces = packing.pack(docs, *tokenizer_files(), size=1024, end=0)
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")
 
 
 STAGES = [

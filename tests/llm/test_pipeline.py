@@ -2,6 +2,7 @@
 
 import collections
 import os
+import zlib
 
 import pytest
 
@@ -53,6 +54,7 @@ def test_stages(spark, folder):
 def test_run_is_the_stages_one_after_the_other(spark, folder):
     out = corpus_pipeline.run(spark, folder).collect()
     assert out and collections.Counter(r["sequence_id"] for r in out) and all(r["length"] <= 1024 for r in out)
+    assert all(len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"] for r in out)
 
 
 def test_queries_over_a_folder(spark, folder):
