@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, jaccard_join, lm_scoring, packing, sharding, span_dedup, suffix_dedup, token_counts, toxicity
+from . import conversation_trie, decontamination, exact_dedup, filter_audit, jaccard_join, lm_scoring, packing, secret_scan, sharding, span_dedup, suffix_dedup, token_counts, toxicity
+from .shared import written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +88,23 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = conversation_trie.rebuilt(_table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(written(paths, "paths"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("_spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", *map(count, secret_scan.KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("_spans")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -99,6 +117,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_packing": op9_packing,
         "op10_toxicity": op10_toxicity,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_conversation_trie": op12_conversation_trie,
+        "op13_secret_scan": op13_secret_scan,
     }
 
 
@@ -127,4 +148,35 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                    doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
             FROM d""",
+        "op11_filter_audit": r"""
+            WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+            w AS (SELECT *, [x FOR x IN string_split_regex(t, '[\x20\x09-\x0D]+') IF x <> ''] AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+            l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY 1),
+            fails AS (SELECT part, doc_id, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                {'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w), 'C': 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * len(t),
+                 'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(doc_id > least, false)} AS f FROM w LEFT JOIN l USING (doc_id)),
+            docs AS (SELECT part, doc_id, good, toxic, CASE WHEN f.A THEN 'A' ELSE '' END || CASE WHEN f.B THEN 'B' ELSE '' END || CASE WHEN f.C THEN 'C' ELSE '' END || CASE WHEN f.D THEN 'D' ELSE '' END || CASE WHEN f.E THEN 'E' ELSE '' END AS m FROM fails),
+            masks AS (SELECT part, m, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM docs GROUP BY 1, 2),
+            letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+            orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letter a, letter b, letter c, letter d, letter e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+            steps AS (SELECT o AS filter_order, k::INT AS step, o[k] AS own, o[1 : k - 1] AS before FROM orders, (SELECT unnest(range(1, 6)) AS k)),
+            tagged AS (SELECT *, contains(m, own) AS fail, len([x FOR x IN string_split(m, '') IF x <> '' AND contains(before, x)]) > 0 AS gone FROM masks, steps),
+            sums AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (WHERE NOT fail AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (WHERE fail AND NOT gone), 0)::BIGINT AS removed,
+                coalesce(sum(n) FILTER (WHERE fail AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (WHERE m = own), 0)::BIGINT AS unique_fails,
+                coalesce(sum(good) FILTER (WHERE fail AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (WHERE fail AND NOT gone), 0)::BIGINT AS toxic_lost FROM tagged GROUP BY 1, 2, 3, 4)
+            SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM sums""",
+        "op12_conversation_trie": r"""
+            WITH own AS (SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS p FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+            crc AS (SELECT c, p, xor(list_reduce([4294967295::BIGINT] || [unicode(x)::BIGINT FOR x IN string_split(c::VARCHAR, '')],
+                lambda a, b: list_reduce([xor(a, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 4 AS h FROM own),
+            built AS (SELECT a.c, coalesce(b.p[1 : a.h], []) || a.p[a.h + 1 :] AS p FROM crc a LEFT JOIN own b ON b.c = a.c - a.c % 20),
+            members AS (SELECT c, unnest(range(0, len(p) + 1)) AS d, p FROM built),
+            keyed AS (SELECT c, d, len(p) AS n, p[1 : d] AS k, CASE WHEN d > 0 THEN p[1 : d - 1] END AS up, CASE WHEN d > 0 THEN len([x FOR x IN string_split_regex(p[d].t, '[\x20\x09-\x0D]+') IF x <> '']) ELSE 0 END AS w FROM members),
+            nodes AS (SELECT d, k, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, max(w) AS w, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '') AS ids FROM keyed GROUP BY 1, 2),
+            kids AS (SELECT up, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+            full_nodes AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.up = nodes.k),
+            above AS (SELECT k[1 : a] AS k, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * w AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM full_nodes)),
+            sums AS (SELECT k, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM above GROUP BY 1)
+            SELECT x.conv_id, x.d::BIGINT AS depth, p.conv_id AS parent_conv_id, x.n_convs::BIGINT AS n_convs, x.n_children::BIGINT AS n_children, n_leaves, saved_tokens, sha256(x.ids) AS ends_sha256
+            FROM full_nodes x JOIN sums ON sums.k = x.k LEFT JOIN nodes p ON x.d > 0 AND p.k = x.up""",
     }
