@@ -61,6 +61,8 @@ def test_queries_over_a_folder(spark, folder):
     """Contracts that hold for any input."""
     n = spark.read.parquet(f"{folder}/documents.parquet").count()
     for name, query in queries.queries().items():
+        if name.startswith(("op11", "op12")):  # rows of other things than documents
+            continue
         out = query(spark, folder)
         assert "doc_id" in out.columns, name
         if not name.startswith("op9"):

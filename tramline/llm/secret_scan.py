@@ -31,10 +31,9 @@ _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]
 _ACCESS, _HEX = re.compile(r"AKIA[A-Z0-9]{14,}"), re.compile(r"[0-9a-f]{16,}")
 _KEY = 12
 #: Escapes; an escaped escape sign in front of the same kind of escape, however often, is one layer with it.
-_ESCAPE = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+|\\(?:u005[cC])*(?:u\{[0-9A-Fa-f]{1,6}\}|u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|x[0-9A-Fa-f]{2})")
-_ONE = re.compile(r"\\(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
+_ESCAPE = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+|\\(?:u005[cC])*(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
 #: A run of 22 letters stands for 16 bytes; fewer hold no secret, and no compressed one. Lines of one length may follow each other.
-_BASE64 = re.compile(r"(?:(?:[A-Za-z0-9+/]{76}\r?\n)+[A-Za-z0-9+/]+|(?:[A-Za-z0-9+/]{64}\r?\n)+[A-Za-z0-9+/]+|[A-Za-z0-9+/_-]{22,})={0,2}")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/]{76}\r?\n)+[A-Za-z0-9+/]+|(?:[A-Za-z0-9+/]{64}\r?\n)+[A-Za-z0-9+/]+|[A-Za-z0-9+/_-]{22,})={0,2}")
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 #: Layers of escapes that are unwrapped one by one; deeper ones are unwrapped to the end at once.
 ROUNDS = 32
@@ -137,8 +136,7 @@ def _unescaped(layer: Layer, blobs: list[Layer]) -> Layer | None:
             points = _points(data)
             put("".join(p for p, _, _ in points), np.array([one[a][1] for _, a, _ in points]), np.array([one[b - 1][2] for _, _, b in points]))
         else:
-            last = "\\" + m[0][1:].lstrip("\\") if not re.match(r"\\(?:u005[cC])+", m[0]) else "\\" + re.sub(r"^\\(?:u005[cC])+(?=[uUx])", "", m[0])
-            put(_code(_ONE.match(last)), np.array([m.start()]), np.array([m.end()]))
+            put(_code(m), np.array([m.start()]), np.array([m.end()]))
         at = m.end()
     if not pieces:
         return None
