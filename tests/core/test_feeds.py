@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tramline.plans import feeds
-from tramline.sources import sinks, snapshots
+from tramline.sources import documents, sinks, snapshots
 
 BZ, PAPIN = feeds.ORIGINS["bz"], feeds.ORIGINS["papin"]
 
@@ -49,7 +49,7 @@ def city(spark, tmp_path):
 def test_station_status(city):
     rows = {r["station_id"]: r for r in feeds.station_status(*city, 99).collect()}
     assert set(rows) == {"a", "b", "c", "d", "e", "j"}
-    pick = lambda r: (r["num_docks_available"], r["num_bikes_available"], r["num_docks_disabled"], r["standard_bikes"], r["electric_bikes"])
+    pick = lambda r: (r["num_docks_available"], r["num_bikes_available"], r["num_docks_disabled"], *([t["count"] for t in r["vehicle_types_available"]] if r["vehicle_types_available"] else (None, None)))
     assert pick(rows["a"]) == (6, 2, 2, 1, 1)
     assert pick(rows["b"]) == (4, 0, 0, 0, 0)
     assert pick(rows["c"]) == (None, 0, 0, 0, 0)
@@ -143,9 +143,12 @@ def test_catalogues(spark):
     assert feeds.base_url({"host": "h", "x-forwarded-host": "o", "x-forwarded-proto": "https"}) == "https://o"
 
 
-def test_envelope(city):
+def test_envelope(city, tmp_path):
     status = feeds.station_status(*city, 99).filter("station_id in ('a', 'c')")
-    doc = json.loads(sinks.envelope(status, "stations", 99, "2.1", order="station_id", keep_nulls=["num_docks_available"]).first()["value"])
+    path = str(tmp_path / "status.json")
+    documents.write_envelope(status, path, "stations", 99, "2.1", order="station_id", keep_nulls=["num_docks_available"])
+    doc = json.loads(open(path).read())
     assert (doc["last_updated"], doc["ttl"], doc["version"]) == (99, 0, "2.1") and len(doc["data"]["stations"]) == 2
     assert doc["data"]["stations"][1]["num_docks_available"] is None and doc["data"]["stations"][0]["num_docks_available"] == 6
-    assert json.loads(sinks.envelope(status.limit(0), "stations", 1, None).first()["value"]) == {"last_updated": 1, "ttl": 0, "data": {"stations": []}}
+    assert doc["data"]["stations"][0]["vehicle_docks_available"] == [{"vehicle_type_ids": ["bike", "e-bike"], "count": 6}]
+    assert doc["data"]["stations"][0]["vehicle_types_available"] == [{"vehicle_type_id": "bike", "count": 1}, {"vehicle_type_id": "e-bike", "count": 1}]

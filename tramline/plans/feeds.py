@@ -90,7 +90,7 @@ def station_status(stations: DataFrame, bays: DataFrame, bikes: DataFrame, last_
     Where the metadata have a bikes entry its count is taken, and docks are 0. Else bays and bikes are counted, each
     hop before its join: docks are the total less disabled bays less available bikes, at least 0, so a disabled bay
     with an available bike counts twice. Without a total, docks are null. Stations whose count of bikes is absent or
-    negative are left out; a count of null stays.
+    negative are left out; a count of null stays. Counted stations also give the docks, which take any type, and the bikes by type.
     """
     meta, own = F.col("smetadata"), S.field(F.col("smetadata"), "bikes")
     free, electric = S.truthy(F.col("savailable")), S.truthy_variant(S.field(F.col("smetadata"), "electric"))
@@ -104,6 +104,7 @@ def station_status(stations: DataFrame, bays: DataFrame, bikes: DataFrame, last_
     docks = F.when(docks.isNotNull() & ~F.isnan(docks), F.greatest(F.lit(0), docks)).cast("bigint")
     rows = rows.filter(counted | (number.isNotNull() & (F.is_variant_null(number) | (S.to_number(number) >= 0))))
     only = lambda c: F.when(counted, c)
+    kinds = [t[0] for t in VEHICLE_TYPES]
     return rows.select(
         S.or_else(F.col("scode"), F.lit(UNKNOWN), "string").alias("station_id"),
         F.lit(True).alias("is_renting"),
@@ -112,8 +113,8 @@ def station_status(stations: DataFrame, bays: DataFrame, bikes: DataFrame, last_
         F.when(counted, docks).otherwise(0).alias("num_docks_available"),
         F.when(counted, F.col("bikes")).otherwise(F.try_variant_get(number, "$", "bigint")).alias("num_bikes_available"),
         only(F.col("disabled")).alias("num_docks_disabled"),
-        only(F.col("bikes") - F.col("electric")).alias("standard_bikes"),
-        only(F.col("electric")).alias("electric_bikes"),
+        only(F.array(F.struct(F.array(*map(F.lit, kinds)).alias("vehicle_type_ids"), docks.alias("count")))).alias("vehicle_docks_available"),
+        only(F.array(*[F.struct(F.lit(kind).alias("vehicle_type_id"), n.alias("count")) for kind, n in zip(kinds, (F.col("bikes") - F.col("electric"), F.col("electric")))])).alias("vehicle_types_available"),
         F.lit(last_updated).cast("bigint").alias("last_reported"),
     )
 

@@ -59,11 +59,13 @@ def station_information(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT c_custkey::VARCHAR AS station_id, true AS is_renting, true AS is_installed, true AS is_returning,
            (CASE WHEN NOT counted THEN 0 WHEN c_custkey % 7 = 0 THEN NULL ELSE greatest(0, (c_custkey % 13) * 2 - d - b) END)::BIGINT AS num_docks_available,
            (CASE WHEN counted THEN b ELSE c_nationkey - 5 END)::BIGINT AS num_bikes_available,
-           (CASE WHEN counted THEN d END)::BIGINT AS num_docks_disabled, (CASE WHEN counted THEN b - e END)::BIGINT AS standard_bikes, (CASE WHEN counted THEN e END)::BIGINT AS electric_bikes,
+           (CASE WHEN counted THEN d END)::BIGINT AS num_docks_disabled, CASE WHEN counted THEN '[{{"vehicle_type_ids":["bike","e-bike"],"count":' || coalesce((CASE WHEN c_custkey % 7 <> 0 THEN greatest(0, (c_custkey % 13) * 2 - d - b) END)::BIGINT::VARCHAR, 'null') || '}}]' END AS vehicle_docks_available,
+           CASE WHEN counted THEN '[{{"vehicle_type_id":"bike","count":' || (b - e)::BIGINT::VARCHAR || '}},{{"vehicle_type_id":"e-bike","count":' || e::BIGINT::VARCHAR || '}}]' END AS vehicle_types_available,
            {NOW}::BIGINT AS last_reported
     FROM s WHERE counted OR (c_custkey % 22 <> 0 AND c_nationkey >= 5)""")
 def station_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feeds.station_status(A.stations(spark, sf_dir), A.bays(spark, sf_dir), A.bikes(spark, sf_dir), NOW)
+    rows = feeds.station_status(A.stations(spark, sf_dir), A.bays(spark, sf_dir), A.bikes(spark, sf_dir), NOW)
+    return rows.withColumns({c: F.to_json(c, {"ignoreNullFields": "false"}) for c in ("vehicle_docks_available", "vehicle_types_available")})
 
 
 @_query(f"""

@@ -1 +1,7 @@
-"""Sources of the engine."""
+"""Sources of the engine. Their readers and writers are shipped to executors by value."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

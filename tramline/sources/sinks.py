@@ -1,4 +1,4 @@
-"""Writers: feed envelopes, RFC 4180 CSV, JSON, YAML facets, replacement by source, publication of a whole version."""
+"""Writers: RFC 4180 CSV, JSON, YAML facets, replacement by source, publication of a whole version. Documents of one file are in documents.py."""
 
 from __future__ import annotations
 
@@ -8,21 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def envelope(rows: DataFrame, name: str, last_updated: int, version: str | None, order: str | None = None, keep_nulls: list[str] = ()) -> DataFrame:
-    """One document: last_updated, ttl 0, version (left out if None), and the rows under data.<name>.
-
-    Null columns are left out of a row, as absent keys are, but for those named in keep_nulls. A feed is one document,
-    so its rows meet in one place; what is made by the million belongs in tables instead.
-    """
-    fields = [c for c in rows.columns if c != order]
-    parts = [F.when(F.col(c).isNull(), F.lit(f'"{c}":null') if c in keep_nulls else F.lit(None)).otherwise(F.regexp_extract(F.to_json(F.struct(F.col(c).alias(c))), r"(?s)^\{(.*)\}$", 1)) for c in fields]
-    row = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
-    texts = rows.select(F.struct(F.col(order) if order else F.lit(0).alias("o"), row.alias("row")).alias("r"))
-    every = texts.agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["row"]), ",").alias("rows"))
-    head = f'{{"last_updated":{last_updated},"ttl":0,' + (f'"version":"{version}",' if version else "") + f'"data":{{"{name}":['
-    return every.select(F.concat(F.lit(head), "rows", F.lit("]}}")).alias("value"))
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV after RFC 4180 with a header: text is quoted, numbers are bare, quotes are doubled, null is an empty field."""
     texts = [c for c, kind in df.dtypes if kind == "string"]
@@ -35,7 +20,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def read_csv_text(df: DataFrame, path: str) -> DataFrame:
     """Reads write_csv's rows again, with the schema of df."""
-    return df.sparkSession.read.schema(df.schema).csv(f"{path}/rows", escape='"', multiLine=True, emptyValue="")
+    return df.sparkSession.read.schema(df.schema).csv(f"{path}/rows", escape='"', multiLine=True, nullValue="\u0000", emptyValue="")
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -83,12 +68,20 @@ def replace_partitions(incoming: DataFrame, path: str, source: str = "source") -
     incoming.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(source).parquet(path)
 
 
-def publish(df: DataFrame, path: str) -> str:
+#: Versions that stay beside the current one, for readers that have begun.
+KEPT = 1
+
+
+def publish(df: DataFrame, path: str, version: str | None = None, keep: int = KEPT) -> str:
     """Writes a new version beside the old ones, and then renames a pointer file over the old one, so there is a whole
-    version for readers at any time, also if this ends midway. A store without renames that overwrite refuses."""
+    version for readers at any time, also if this ends midway. A store without renames that overwrite refuses.
+
+    A version that is named (by the number of a batch, say) is written over when it comes again. Afterwards versions
+    are removed but for the current one and the `keep` newest others.
+    """
     spark = df.sparkSession
-    version = uuid.uuid4().hex
-    df.write.parquet(f"{path}/{version}")
+    version = version or uuid.uuid4().hex
+    df.write.mode("overwrite").parquet(f"{path}/{version}")
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs = hadoop.FileSystem.get(spark._jvm.java.net.URI(path), spark._jsc.hadoopConfiguration())
     pointer, new = hadoop.Path(f"{path}/CURRENT"), hadoop.Path(f"{path}/CURRENT-{version}")
@@ -99,6 +92,9 @@ def publish(df: DataFrame, path: str) -> str:
     overwrite = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
     overwrite[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     files.rename(new, pointer, overwrite)
+    others = sorted((f for f in fs.listStatus(hadoop.Path(path)) if f.isDirectory() and f.getPath().getName() != version), key=lambda f: -f.getModificationTime())
+    for old in others[keep:]:
+        fs.delete(old.getPath(), True)
     return version
 
 

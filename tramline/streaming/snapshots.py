@@ -26,7 +26,7 @@ def follow(spark: SparkSession, path: str, schema: str, current: str, checkpoint
             return
         rows = texts.select(F.inline("rows"))
         if valid is None or valid(rows):
-            publish(rows.withColumn("poll", F.lit(number)), current)
+            publish(rows.withColumn("poll", F.lit(number)), current, f"poll-{number}")
 
     query = files.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     return (query.trigger(processingTime=every) if every else query.trigger(availableNow=True)).start()
