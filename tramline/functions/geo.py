@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Metres of a degree of latitude, on a sphere of 6371 km.
-DEGREE = 111_194.92664455873
-
-
 def parse_bbox(text: str | None) -> tuple[float, float, float, float] | None:
     """minx,miny,maxx,maxy. No text is no box; other than four parts is an error; a part that is no number matches nothing."""
     if not text:
@@ -64,24 +60,39 @@ def inside(df: DataFrame, x: str, y: str, corners: list[tuple[float, float]]) ->
     return df.filter(in_bbox(F.col(x), F.col(y), (min(xs), min(ys), max(xs), max(ys)))).filter(in_ring(F.col(x), F.col(y), points))
 
 
+#: Metres of the sphere's radius.
+RADIUS = 6_371_000
+
+
 def distance(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Metres along a great circle."""
     a, b = F.radians(lat1), F.radians(lat2)
     h = F.pow(F.sin((b - a) / 2), 2) + F.cos(a) * F.cos(b) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * 6_371_000 * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    return 2 * RADIUS * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+
+
+def sphere(lat: str, lon: str) -> Column:
+    """A place as x, y, z on a sphere of radius 1, where poles and meridians are places like others."""
+    a, o = F.radians(F.col(lat)), F.radians(F.col(lon))
+    return F.struct((F.cos(a) * F.cos(o)).alias("x"), (F.cos(a) * F.sin(o)).alias("y"), F.sin(a).alias("z"))
+
+
+def sphere_cell(at: Column, side: Column) -> Column:
+    """The cubic cell, of the given side, that a place on the sphere is in."""
+    return F.struct(*[F.floor(at[c] / side).alias(c) for c in "xyz"])
+
+
+def block(cell: Column) -> Column:
+    """A cell and the 26 around it. Whatever is at most a side away from a place in the cell is in one of them."""
+    steps = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]
+    return F.array(*[F.struct(*[(cell[c] + d).alias(c) for c, d in zip("xyz", step)]) for step in steps])
 
 
 def within(left: DataFrame, right: DataFrame, metres: float, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Pairs of rows at most so far apart, by an equi-join of grid cells; columns of right get the prefix other_.
-
-    Cells are `metres` high, and as wide as they must be at 80 degrees of latitude, beyond which nothing is found.
-    """
-    tall, wide = metres / DEGREE, metres / DEGREE / 0.1736
-    cell = lambda c, size: F.floor(c / size)
-    near = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    a = left.withColumns({"_cy": cell(F.col(lat), tall), "_cx": cell(F.col(lon), wide)})
+    """Pairs of rows at most so far apart, anywhere on the sphere, by an equi-join of cubic cells; columns of right get the prefix other_."""
+    side = F.lit(max(metres, 0.01) / RADIUS * (1 + 1e-9))
+    a = left.withColumn("_cell", sphere_cell(sphere(lat, lon), side))
     b = right.select([F.col(c).alias(f"other_{c}") for c in right.columns])
-    b = b.withColumns({"_dy": F.explode(near)}).withColumn("_dx", F.explode(near))
-    b = b.withColumns({"_cy": cell(F.col(f"other_{lat}"), tall) + F.col("_dy"), "_cx": cell(F.col(f"other_{lon}"), wide) + F.col("_dx")}).drop("_dy", "_dx")
-    pairs = a.join(b, ["_cy", "_cx"]).withColumn("metres", distance(F.col(lat), F.col(lon), F.col(f"other_{lat}"), F.col(f"other_{lon}")))
-    return pairs.filter(F.col("metres") <= metres).drop("_cy", "_cx")
+    b = b.withColumn("_cell", F.explode(block(sphere_cell(sphere(f"other_{lat}", f"other_{lon}"), side))))
+    pairs = a.join(b, "_cell").withColumn("metres", distance(F.col(lat), F.col(lon), F.col(f"other_{lat}"), F.col(f"other_{lon}")))
+    return pairs.filter(F.col("metres") <= metres).drop("_cell")

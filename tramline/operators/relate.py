@@ -39,8 +39,12 @@ def last_by(df: DataFrame, key: str | list[str], order: Column | str) -> DataFra
 
 
 def probe(wanted: DataFrame, index: DataFrame, key: str, order: str) -> DataFrame:
-    """The row of index for each wanted id, in the wanted rows' number; of repeated ids the last counts. Unknown ids give nothing."""
-    return wanted.select(key).join(last_by(index, key, order), key)
+    """The row of index for each wanted id, in the wanted rows' number; of repeated ids the last counts. Unknown ids give nothing.
+
+    Rows that nobody wants leave before the last of each id is looked for.
+    """
+    asked = index.join(wanted.select(key).distinct(), key, "left_semi")
+    return wanted.select(key).join(last_by(asked, key, order), key)
 
 
 def missing(wanted: DataFrame, index: DataFrame, key: str) -> DataFrame:
