@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from .functions import display as D
 from .functions import geo
 from .functions import semantics as S
+from .functions.cells import points_in_rings
 from .operators import facets as facet
 from .operators import relate
+from .operators.nearest import nearest
 from .plans import analogues as A
-from .plans import feeds, poi
+from .plans import elements, feeds, poi
+from .sources import archives, documents, sinks, snapshots
+from .sources.files import scratch
 from .sources.sinks import replaced_by_source
 from .streaming.snapshots import latest
 
@@ -592,3 +596,150 @@ def layered_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.createDataFrame([(k, v["polling_interval"], v["host"], v["port"]) for k, v in merged.items()], "endpoint string, polling_interval int, host string, port int")
     regions = A.table(spark, sf_dir, "region").withColumn("endpoint", F.concat(F.lit("e"), (F.col("r_regionkey") % 3).cast("string"))).join(rows, "endpoint")
     return A.table(spark, sf_dir, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name", "polling_interval", "host", "port")
+
+
+_METRES = "2 * 6371000 * asin(sqrt(least(pow(sin((radians(b.lat) - radians(a.lat)) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2), 1.0)))"
+
+
+@_query(f"""
+    WITH a AS (SELECT c_custkey, {_POINT.format('c_custkey')} FROM customer), b AS (SELECT s_suppkey, {_POINT.format('s_suppkey * 7')} FROM supplier WHERE s_nationkey % 4 > 0),
+    d AS (SELECT c_custkey, s_suppkey, round({_METRES}, 3) AS metres FROM a, b),
+    r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY metres, s_suppkey) AS rank FROM d)
+    SELECT c_custkey, rank::INT AS rank, s_suppkey FROM r WHERE rank <= 6""")
+def nearest_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = A.table(spark, sf_dir, "customer").select("c_custkey", A.point("c_custkey").alias("p")).select("c_custkey", F.col("p.y").alias("lat"), F.col("p.x").alias("lon"))
+    stops = A.table(spark, sf_dir, "supplier").filter(D.nearby_shown(F.lit("Stop"), F.col("s_nationkey") % 4, ["Stop"])).withColumn("k", F.col("s_suppkey") * 7)
+    stops = stops.select("s_suppkey", A.point("k").alias("p")).select("s_suppkey", F.col("p.y").alias("lat"), F.col("p.x").alias("lon"))
+    return nearest(points, stops, 6, key="c_custkey", place="s_suppkey").drop("metres")
+
+
+_STAR = [(-1.0, -1.0), (1.0, -0.8), (0.3, 0.0), (0.9, 1.0), (-0.7, 0.8), (-1.0, -1.0)]
+
+
+@_query(f"""
+    WITH corner AS (SELECT n_nationkey AS k, i, (n_nationkey % 5 - 2) * 0.06 + x * ((1 + n_nationkey % 3) * 0.04) AS x, (n_nationkey // 5 - 2) * 0.06 + y * ((1 + n_nationkey % 3) * 0.04) AS y
+                    FROM nation, (VALUES {', '.join(f'({i}, {x}::DOUBLE, {y}::DOUBLE)' for i, (x, y) in enumerate(_STAR))}) AS c(i, x, y)),
+    edge AS (SELECT a.k, a.x AS ax, a.y AS ay, b.x AS qx, b.y AS qy FROM corner a JOIN corner b ON b.k = a.k AND b.i = a.i + 1),
+    p AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings)
+    SELECT vec_id, k AS n_nationkey FROM p, edge WHERE (ay > y) <> (qy > y) AND x < (qx - ax) * (y - ay) / (qy - ay) + ax GROUP BY 1, 2 HAVING count(*) % 2 = 1""")
+def rings_by_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("n_nationkey")
+    size = (1 + n % 3) * F.lit(0.04)
+    corners = F.array(*[F.array((n % 5 - 2) * F.lit(0.06) + F.lit(x) * size, (F.floor(n / 5) - 2) * F.lit(0.06) + F.lit(y) * size) for x, y in _STAR])
+    rings = A.table(spark, sf_dir, "nation").select("n_nationkey", corners.alias("ring"))
+    at = lambda i: F.get("embedding", F.lit(i)).cast("double")
+    points = A.table(spark, sf_dir, "embeddings").select("vec_id", at(0).alias("x"), at(1).alias("y"))
+    return points_in_rings(points, rings, ring_id="n_nationkey", world=(-2.0, -2.0, 4.0)).select("vec_id", "n_nationkey")
+
+
+def _extracts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as nodes, customers as ways, nations and regions as relations, in two extracts that overlap; some nodes are in neither."""
+    ref = lambda kind, key: F.struct(F.lit(kind).alias("kind"), F.col(key).cast("long").alias("id"), F.lit("").alias("role"))
+    none = F.lit(None).cast("array<struct<kind:string,id:long,role:string>>")
+    orders, customers = A.table(spark, sf_dir, "orders"), A.table(spark, sf_dir, "customer")
+    nodes = orders.filter("o_orderstatus <> 'P'").select(F.lit("node").alias("kind"), F.col("o_orderkey").cast("long").alias("id"), F.create_map(F.lit("class"), F.col("o_orderpriority")).alias("tags"), none.alias("refs"))
+    of = orders.groupBy("o_custkey").agg(F.collect_list(ref("node", "o_orderkey")).alias("refs"))
+    ways = customers.join(of, F.col("c_custkey") == F.col("o_custkey"), "left").select(F.lit("way").alias("kind"), F.col("c_custkey").cast("long").alias("id"), F.create_map(F.lit("highway"), F.col("c_mktsegment")).alias("tags"), "refs")
+    inner = customers.groupBy("c_nationkey").agg(F.collect_list(ref("way", "c_custkey")).alias("refs"))
+    nations = A.table(spark, sf_dir, "nation").join(inner, F.col("n_nationkey") == F.col("c_nationkey"), "left").select(F.lit("relation").alias("kind"), F.col("n_nationkey").cast("long").alias("id"), F.create_map(F.lit("name"), F.col("n_name")).alias("tags"), "refs")
+    outer = A.table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.collect_list(ref("relation", "n_nationkey")).alias("refs"))
+    regions = A.table(spark, sf_dir, "region").join(outer, F.col("r_regionkey") == F.col("n_regionkey"), "left").select(F.lit("relation").alias("kind"), (F.col("r_regionkey") + 1_000).cast("long").alias("id"), F.create_map(F.lit("name"), F.col("r_name")).alias("tags"), "refs")
+    every = relate.union_all(nodes, ways, nations, regions)
+    side = lambda name: every.select("kind", "id", F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.map_concat("tags", F.create_map(F.lit("extract"), F.lit(name))).alias("tags"), "refs")
+    return side("first").filter("id % 3 <> 0"), side("second").filter("id % 2 = 0 or id % 3 = 0")
+
+
+_MAP = """
+    chosen AS (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') OR c_nationkey IN (SELECT n_nationkey FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name = 'ASIA')),
+    parts AS (SELECT 'relation' AS kind, r_regionkey + 1000 AS id, (SELECT count(*) FROM nation WHERE n_regionkey = r_regionkey) AS n FROM region WHERE r_name = 'ASIA'
+        UNION ALL SELECT 'relation', n_nationkey, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name = 'ASIA'
+        UNION ALL SELECT 'way', c_custkey, coalesce(n, 0) FROM chosen LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey
+        UNION ALL SELECT 'node', o_orderkey, 0 FROM orders WHERE o_orderstatus <> 'P' AND o_custkey IN (SELECT c_custkey FROM chosen))"""
+
+
+@_query(f"""
+    WITH {_MAP} SELECT kind, id::BIGINT AS id, CASE WHEN id % 3 <> 0 THEN 'first' ELSE 'second' END AS extract, n::BIGINT AS n_refs FROM parts""")
+def map_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = elements.merge(*_extracts(spark, sf_dir))
+    chosen = elements.tagged(every, "way", "highway", ["BUILDING", "MACHINERY"]).unionByName(elements.tagged(every, "relation", "name", ["ASIA"]))
+    return elements.completed(every, chosen).select("kind", "id", F.col("tags")["extract"].alias("extract"), F.coalesce(F.size("refs"), F.lit(0)).cast("long").alias("n_refs"))
+
+
+@_query("""
+    SELECT 'node' AS kind, o_orderkey::BIGINT AS id FROM orders WHERE o_orderstatus = 'P' AND o_custkey IN (SELECT c_custkey FROM customer)""")
+def map_dangling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return elements.dangling(elements.merge(*_extracts(spark, sf_dir)))
+
+
+@_query("""
+    SELECT c_custkey, c_name, CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal END AS c_acctbal, 'a "q", ' || c_mktsegment AS note, row_number() OVER (ORDER BY c_name DESC) - 1 AS ordinal FROM customer""")
+def feed_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as one feed document, written by many tasks, and read back."""
+    rows = A.table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.when(F.col("c_custkey") % 4 != 0, F.col("c_acctbal").cast("double")).alias("c_acctbal"), F.concat(F.lit('a "q", '), "c_mktsegment").alias("note"))
+    path = f"{scratch(spark, 'feed')}/feed.json"
+    last = rows.withColumn("o", F.translate("c_name", "0123456789", "9876543210"))
+    documents.write_envelope(last, path, "stations", NOW, "2.1", order="o", keep_nulls=["c_acctbal"], without="o")
+    kinds = {"c_custkey": "bigint", "c_acctbal": "double"}
+    row = ",".join(f"{c}:{kinds.get(c, 'string')}" for c in rows.columns)
+    whole = spark.read.schema(f"last_updated long, ttl int, version string, data struct<stations:array<struct<{row}>>>").json(path, multiLine=True)
+    return whole.select(F.posexplode("data.stations").alias("ordinal", "row")).select("row.*", F.col("ordinal").cast("long"))
+
+
+@_query("""
+    SELECT p_partkey, CASE WHEN p_partkey % 3 <> 0 THEN 'the "' || p_name || '"' || chr(10) || p_type ELSE CASE WHEN p_partkey % 2 = 0 THEN '' END END AS title, CASE WHEN p_size > 5 THEN p_retailprice END AS price FROM part""")
+def csv_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as one CSV file with its header, written by many tasks, and read back: empty text and null stay apart."""
+    key = F.col("p_partkey")
+    title = F.when(key % 3 != 0, F.concat(F.lit('the "'), "p_name", F.lit('"\n'), "p_type")).when(key % 2 == 0, "")
+    rows = A.table(spark, sf_dir, "part").select("p_partkey", title.alias("title"), F.when(F.col("p_size") > 5, F.col("p_retailprice").cast("double")).alias("price"))
+    path = f"{scratch(spark, 'csv')}/parts.csv"
+    documents.write_csv_file(rows, path, order="p_partkey")
+    return documents.read_csv_file(spark, path, rows.schema)
+
+
+@_query("""
+    SELECT s_suppkey, s_name, CASE WHEN s_nationkey % 2 = 0 THEN s_acctbal END AS s_acctbal FROM supplier""")
+def json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = A.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.when(F.col("s_nationkey") % 2 == 0, F.col("s_acctbal").cast("double")).alias("s_acctbal"))
+    path = f"{scratch(spark, 'array')}/rows.json"
+    documents.write_array(rows, path, order="s_suppkey")
+    return spark.read.schema(rows.schema).json(path, multiLine=True)
+
+
+@_query("""
+    SELECT 'feed' || (n_nationkey % 4)::VARCHAR || '.zip' AS archive, c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_name END AS name, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey / 4.0 END::DOUBLE AS lat
+    FROM customer JOIN nation ON n_nationkey = c_nationkey""")
+def archive_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as stops.txt of four archives, beside members that nobody reads, and read back as a table."""
+    rows = A.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("feed"), (F.col("c_nationkey") % 4).cast("string"), F.lit(".zip")).alias("archive"), F.col("c_custkey"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")).alias("name"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_custkey") / 4.0).alias("lat")
+    )
+    lines = rows.select("archive", F.lit("stops.txt").alias("member"), F.col("c_custkey").cast("long").alias("ordinal"), documents.csv_text(rows, ["c_custkey", "name", "lat"]).alias("value"))
+    heads = lines.groupBy("archive", "member").agg(F.lit(-1).cast("long").alias("ordinal"), F.lit("c_custkey,name,lat").alias("value"))
+    folder = scratch(spark, "archives")
+    archives.write_archives(lines.unionAll(heads).unionAll(heads.withColumn("member", F.lit("readme.md"))), folder)
+    back = archives.read_table(spark, folder, "stops.txt", "c_custkey long, name string, lat double")
+    return back.select(F.element_at(F.split("archive", "/"), -1).alias("archive"), "c_custkey", "name", "lat")
+
+
+@_query("""
+    SELECT r_regionkey, n_nationkey, n_name FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey % 3 <> 1""")
+def published_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of two published versions of a table."""
+    rows = A.table(spark, sf_dir, "nation").join(A.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("r_regionkey", "n_nationkey", "n_name")
+    path = scratch(spark, "published")
+    sinks.publish(rows, path, "poll-0")
+    sinks.publish(rows.filter("n_nationkey % 3 <> 1"), path, "poll-1")
+    return sinks.published(spark, path)
+
+
+@_query("""
+    SELECT o_orderkey, o_orderstatus AS status, (o_orderkey % 7)::BIGINT AS page FROM orders""")
+def paged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as seven page documents, and their items read back from all pages."""
+    rows = A.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), (F.col("o_orderkey") % 7).cast("long").alias("page"))
+    folder = scratch(spark, "pages")
+    for page in range(7):
+        documents.write_pieces(rows.filter(F.col("page") == page).select(documents.row_text(rows, without="page")), f"{folder}/{page}.json", f'{{"TotalPages":7,"CurrentPage":{page},"Items":[', ",", "]}")
+    items = snapshots.read_items(spark, folder, "o_orderkey bigint, status string")
+    return items.select("o_orderkey", "status", F.regexp_extract("page", r"(\d)\.json$", 1).cast("long").alias("page"))
