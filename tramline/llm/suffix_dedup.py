@@ -244,7 +244,7 @@ def _pack(kind: str):
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, spans, pieces) to what stays of each text: doc_id, n_bytes, kept, the removed spans, merged, and pieces."""
+    """(doc_id, text, spans) to what stays of each text: doc_id, n_bytes, kept, and the removed spans, merged."""
     for batch in batches:
         kept, removed, sizes = [], [], []
         for text, spans in zip(batch.column(1).cast(pa.large_binary()), batch.column(2)):
@@ -264,15 +264,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             removed.append([{"start": a, "end": b} for a, b in runs])
             sizes.append(len(data))
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(removed, spans_type), batch.column(3)], names=["doc_id", "n_bytes", "kept", "removed", "pieces"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(removed, spans_type)], names=["doc_id", "n_bytes", "kept", "removed"])
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text", hot: int = HOT_CONTEXTS) -> DataFrame:
     """Takes from each text the bytes covered by a string of `length` bytes that also starts elsewhere, in any text or the same.
 
-    Returns doc_id, n_bytes, kept (the remaining bytes, which need not be whole characters), removed (maximal
-    spans as start and end) and pieces: of the ANCHOR-byte pieces at the text's anchors, the number that are anchors
-    of another text, too, which tells of shared passages that are shorter than `length` and stay. Strings are judged on the input, do not cross documents, and may overlap. A null text is
+    Returns doc_id, n_bytes, kept (the remaining bytes, which need not be whole characters) and removed (maximal
+    spans as start and end). Strings are judged on the input, do not cross documents, and may overlap. A null text is
     empty; shorter texts lose nothing; of equal texts all copies lose what is long enough; null and repeated doc_ids
     are just carried along; an empty table gives an empty result; other columns are not read. `length` is 272 at
     least. Texts are known by 64-bit hashes meanwhile, strings are equal by 128 bits.
@@ -285,11 +284,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
     limited = lambda df: sized(df, BROADCAST_ROWS)
 
     contexts = written(docs.select("sid", "text").mapInArrow(_anchors(length), "sid long, anchor long, first long, last long, key long, context long, more long"), "contexts")
-    each = contexts.groupBy("key", "context", "more").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("sid", "anchor")).alias("at"), F.max("sid").alias("top"))
+    each = contexts.groupBy("key", "context", "more").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("sid", "anchor")).alias("at"))
     each = written(each, "each-context")
-    keys = each.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("all"), F.min("at.sid").alias("lo"), F.max("top").alias("hi"))
-    keys = keys.filter("all > 1").select("key", "kinds", (F.col("lo") < F.col("hi")).alias("wide"))
-    each = written(each.join(written(keys, "keys"), "key").select("key", "context", "more", "copies", "at", "kinds", "wide"), "shared-contexts")
+    keys = each.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("all")).filter("all > 1").select("key", "kinds")
+    each = written(each.join(written(keys, "keys"), "key").select("key", "context", "more", "copies", "at", "kinds"), "shared-contexts")
     shared = written(contexts.join(each, ["key", "context", "more"]), "shared")
     whole = shared.filter("copies > 1").select("sid", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
 
@@ -310,9 +308,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
         again = strings.groupBy("h", "more").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h", "more")
         found = found.unionByName(strings.join(again, ["h", "more"], "left_semi").select("sid", "start", (F.col("start") + length).alias("end")))
     spans = found.distinct().groupBy("sid").applyInArrow(_pack("start end"), "sid long, contexts binary")
-    pieces = shared.filter("wide").select("sid", "anchor").distinct().groupBy("sid").agg(F.count(F.lit(1)).alias("pieces"))
-    about = written(spans.join(pieces, "sid", "full_outer"), "spans").select(F.col("sid").alias("s"), F.col("contexts").alias("spans"), "pieces")
-    out = docs.join(limited(about), F.col("sid") == F.col("s"), "left").select("doc_id", "text", "spans", F.coalesce("pieces", F.lit(0).cast("long")).alias("pieces"))
+    about = written(spans, "spans").select(F.col("sid").alias("s"), F.col("contexts").alias("spans"))
+    out = docs.join(limited(about), F.col("sid") == F.col("s"), "left").select("doc_id", "text", "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_bytes long, kept binary, removed array<struct<start:long,end:long>>, pieces long"
+    schema = f"doc_id {kind}, n_bytes long, kept binary, removed array<struct<start:long,end:long>>"
     return out.mapInArrow(_cut, schema).withColumnRenamed("doc_id", doc_id)
