@@ -16,7 +16,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from tramline.llm import conversation_trie, filter_audit, queries, secret_scan
+from tramline.llm import conversation_trie, exact_dedup, filter_audit, jaccard_join, queries, secret_scan, toxicity
 
 # filter audit
 
@@ -310,3 +310,28 @@ def test_scan_query(spark, tmp_path):
     joined = ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in brute_base(text))
     assert rows[1]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest() and rows[1]["spans"].startswith(joined + ",access:")
     assert rows[2]["spans"] == "" and rows[2]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+# columns of any type, layouts of files
+
+
+def test_rows_with_maps_and_variants_are_kept(spark, texts):
+    rows = [(i % 9, f"{texts[i % 5]} and some more words here {i % 3 if i < 20 else i}", i) for i in range(60)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, i int").select("*", F.create_map(F.lit("k"), "i").alias("m"), F.parse_json(F.lit('{"a":1}')).alias("v"), F.array(F.create_map(F.lit("x"), F.lit(b"\x00\xff"))).alias("row"))
+    plain = docs.select("doc_id", "text", "i")
+    for keep in (exact_dedup.keep_one, jaccard_join.keep_one):
+        out = keep(docs)
+        assert out.columns == docs.columns
+        got = sorted((r["doc_id"], r["text"]) for r in out.collect())
+        assert got == sorted((r["doc_id"], r["text"]) for r in keep(plain).collect()) and len(got) < len(rows)
+        assert all(r["m"] == {"k": r["i"]} for r in out.collect())
+
+
+def test_weights_do_not_depend_on_the_layout_of_files(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["bad", "fool", "fine", "day", "sun", f"w{rng.randrange(50)}"]) for _ in range(rng.randrange(1, 40))), rng.choice("abc")) for i in range(600)] + [(5, "again bad", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int("bad" in t)) for i, t, _ in rows[:500]], "doc_id long, toxic int")
+    one = toxicity.fit(docs.coalesce(1), labels, ~toxicity.held_out())
+    other = toxicity.fit(docs.repartition(7, "lang"), labels.repartition(3), ~toxicity.held_out())
+    assert (one == other).all() and (one != 0).any()

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import packed, partitions, sized, unpacked, written
+from .shared import packed, partitions, row_hash, sized, unpacked, written
 
 #: Bits of a fingerprint within its owner's range. Chance hits among them only make more suspects.
 BITS = 44
@@ -177,8 +177,9 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without all but one row of each group of equal texts, with the columns as they were.
 
-    The row with the largest doc_id stays; of several with that doc_id, the largest by its other columns.
+    The row with the largest doc_id stays (null is less than any); of several with that doc_id, that of the largest hash of the row
+    as JSON, so columns of any type can be carried along, maps and variants too.
     """
     found, others = _suspect_rows(docs, suspects(docs, doc_id, text), text)
-    best = found.groupBy("_sha", "_text").agg(F.max(F.struct(F.col("row")[doc_id].alias("id"), "row")).alias("best"))
-    return unpacked(others.select("row").unionAll(best.select("best.row")), docs.columns)
+    best = found.groupBy("_sha", "_text").agg(F.max_by("row", F.struct(F.col("row")[doc_id].alias("id"), row_hash("row").alias("h"))).alias("row"))
+    return unpacked(others.select("row").unionAll(best.select("row")), docs.columns)

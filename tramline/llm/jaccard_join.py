@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .exact_dedup import golomb_decode, golomb_encode
-from .shared import packed, partitions, sized, unpacked, written
+from .shared import packed, partitions, row_hash, sized, unpacked, written
 from .text import SPACED, U, Words, chunks, grams, mix
 
 #: A shingle in so many documents counts as frequent.
@@ -384,7 +384,7 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: str = "doc_
     """One document of each component, and those without shingles, with the columns as they were.
 
     The row with the least doc_id stays (null after all others); of several texts with that doc_id in a component, that of
-    the least hash; of repeated rows with that text, the largest by its other columns. Rows are removed by doc_id and text,
+    the least hash; of repeated rows with that text, that of the largest hash of the row as JSON. Rows are removed by doc_id and text,
     so a row that is similar to nothing stays whatever its doc_id. Other cases are as in similar_documents().
     """
     described, named = _classes(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), n, percent)
@@ -399,5 +399,5 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 75, doc_id: str = "doc_
     again = groups.filter("stays")
     if not again.isEmpty():
         twice = packed(docs).join(sized(again, BROADCAST_IDS), own(again), "left_semi")
-        left = left.unionAll(twice.groupBy(F.col("row")[doc_id].alias("i"), F.xxhash64(F.col("row")[text]).alias("m")).agg(F.max("row").alias("row")).select("row"))
+        left = left.unionAll(twice.groupBy(F.col("row")[doc_id].alias("i"), F.xxhash64(F.col("row")[text]).alias("m")).agg(F.max_by("row", row_hash("row")).alias("row")).select("row"))
     return unpacked(left, docs.columns)

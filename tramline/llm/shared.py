@@ -70,3 +70,8 @@ def unpacked(df: DataFrame, columns: list[str], name: str = "row", **added: Colu
     """The columns of the struct, and added ones, which replace columns of the same name."""
     kept = [c for c in columns if c.lower() not in {a.lower() for a in added}]
     return df.select(*[F.col(name)[c].alias(c) for c in kept], *[a.alias(n) for n, a in added.items()])
+
+
+def row_hash(row: str) -> Column:
+    """A hash of a struct of columns of any type, maps and variants included, which have no order of their own."""
+    return F.xxhash64(F.to_json(row))
