@@ -240,3 +240,31 @@ def test_a_batch_that_runs_again_has_the_same_rows(spark, tmp_path):
         query.stop()
     assert seen[0] == seen[1] and seen[0][0] == 0 and [r[:2] for r in seen[0][1]] == [("a", 0), ("b", 0)]
     assert seen[2][1] != seen[1][1] and all(r[1] == 1 for r in seen[2][1])
+
+
+def test_from_settings_to_feeds(spark, tmp_path):
+    """Layered settings name the endpoints, a poll fills the tables, and these make a feed."""
+    from tramline import config
+    from tramline.plans import feeds
+    from tramline.sources import snapshots
+
+    replies = {
+        "/s": [{"scode": "a", "sname": "A", "sorigin": feeds.ORIGINS["bz"], "sactive": True, "savailable": True, "smetadata": {"total-bays": 5}}],
+        "/b": [{"scode": "a1", "pcode": "a", "savailable": True}, {"scode": "a2", "pcode": "a", "savailable": False}],
+        "/k": [{"scode": "x", "pcode": "a1", "savailable": True, "smetadata": {"electric": True}}],
+    }
+    with serving(lambda m, path, h, b: (200, {}, json.dumps({"data": replies[path]}).encode())) as url:
+        host, port = url.removeprefix("http://").split(":")
+        found = config.endpoints({"stations": {"path": "/s"}, "bays": {"path": "/b"}, "bikes": {"path": "/k"}, "default": {"hostname": host}}, {"default": {"port": int(port), "hostname": "other"}})
+        stream = polling.polls(spark, config.urls(found, "http"), f"file://{tmp_path}/log")
+        kinds = {"stations": snapshots.STATION, "bays": snapshots.BAY, "bikes": snapshots.BIKE}
+        query = polling.follow_polls(stream, kinds, f"file://{tmp_path}/now", f"{tmp_path}/ck", "10 minutes")
+        for _ in range(400):
+            if query.lastProgress:
+                break
+            query.awaitTermination(0.1)
+        query.stop()
+    tables = [sinks.published(spark, polling.table_path(f"file://{tmp_path}/now", e)) for e in ("stations", "bays", "bikes")]
+    row = feeds.station_status(*tables, 99).first()
+    assert (row["station_id"], row["num_docks_available"], row["num_bikes_available"], row["num_docks_disabled"]) == ("a", 3, 1, 1)
+    assert [t["count"] for t in row["vehicle_types_available"]] == [0, 1] and [d["count"] for d in row["vehicle_docks_available"]] == [3]

@@ -15,3 +15,8 @@ def defaults(*layers: dict | None) -> dict:
 def endpoints(service: dict, base: dict) -> dict[str, dict]:
     """Named endpoints of a service, each over the service's `default` and that over the base's `default`."""
     return {name: defaults(own, service.get("default"), base.get("default")) for name, own in service.items() if name != "default"}
+
+
+def urls(found: dict[str, dict], protocol: str = "https") -> dict[str, str]:
+    """Endpoints with their settings as URLs: protocol, hostname, port if there is one, path. They can be polled as they are."""
+    return {name: f"{conf.get('protocol', protocol)}://{conf['hostname']}{':' + str(conf['port']) if conf.get('port') else ''}{conf.get('path', '/')}" for name, conf in found.items()}
