@@ -13,7 +13,7 @@ from ..sources.files import kept
 #: Sides of cells, on a sphere of radius 1, from coarse to fine: from all of it down to some decimetres.
 SIDES = [2.0 * 4.0**-j for j in range(13)]
 #: The first round takes the coarsest cells of which none holds more than so many times k places.
-CROWD = 16
+CROWD = 2
 
 
 def nearest(points: DataFrame, places: DataFrame, k: int = 6, key: str = "id", place: str = "place_id", lat: str = "lat", lon: str = "lon") -> DataFrame:

@@ -38,9 +38,9 @@ def completed(elements: DataFrame, chosen: DataFrame) -> DataFrame:
     A round takes what the last one has added, and adds what that refers to and is not yet there; it ends when there is nothing new, which also
     ends circles of relations. Each round shuffles keys only; elements as a whole are read once more at the end.
     """
-    links = kept(elements.filter(F.size("refs") > 0).select(*_KEY, F.transform("refs", lambda r: F.struct(r["kind"].alias("kind"), r["id"].alias("id"))).alias("refs")), "links")
-    found = fresh = kept(elements.select(*_KEY).join(chosen.select(*_KEY).distinct(), _KEY, "left_semi").distinct(), "chosen")
-    known = elements.select(*_KEY)
+    graph = kept(elements.select(*_KEY, F.transform("refs", lambda r: F.struct(r["kind"].alias("kind"), r["id"].alias("id"))).alias("refs")), "graph")
+    links, known = graph.filter(F.size("refs") > 0), graph.select(*_KEY)
+    found = fresh = kept(known.join(chosen.select(*_KEY).distinct(), _KEY, "left_semi").distinct(), "chosen")
     while fresh.take(1):
         wanted = _refs(links.join(fresh, _KEY, "left_semi")).join(found, _KEY, "left_anti")
         fresh = kept(wanted.join(known, _KEY, "left_semi"), "fresh")
