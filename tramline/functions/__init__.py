@@ -1 +1,7 @@
-"""Functions of the engine."""
+"""Functions of the engine. What runs in tasks is shipped to executors by value."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
