@@ -50,7 +50,8 @@ def op4_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return lm_scoring.score(docs, lm_scoring.train(docs), counted=lm_scoring.words(docs))
+    counted = lm_scoring.words(docs)
+    return lm_scoring.score(docs, lm_scoring.train(docs, counted=counted), counted=counted)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
