@@ -603,6 +603,15 @@ def test_exact_dedup(docs, monkeypatch, chunk):
     assert set(map(str, rows)) <= set(map(str, docs.collect()))
 
 
+def test_owners_follow_the_rows(docs, monkeypatch):
+    """More rows make more calls of owners, not larger ones."""
+    want = brute_copies(pairs(docs))
+    monkeypatch.setattr(exact_dedup, "OWNER_ROWS", 5)
+    assert docs.count() / 5 > exact_dedup.partitions(docs.sparkSession)
+    got = [(r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in exact_dedup.duplicate_groups(docs).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_exact_dedup_of_odd_tables(odd, empty):
     assert exact_dedup.duplicate_groups(empty).count() == exact_dedup.keep_one(empty).count() == 0
     out = exact_dedup.duplicate_groups(odd).collect()

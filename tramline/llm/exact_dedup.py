@@ -8,6 +8,7 @@ their texts are shuffled and grouped byte by byte, after a partial grouping wher
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,8 @@ BITS = 44
 BROADCAST_DIGESTS = 200_000
 #: Rows whose fingerprints are coded together, and chunks of rows whose bitmaps are broadcast at most.
 CHUNK, BROADCAST_CHUNKS = 20_000, 10_000
+#: Fingerprints that an owner compares at once, about: with more rows there are more owners, whatever the settings of shuffles.
+OWNER_ROWS = 4_000_000
 
 
 def golomb_encode(values: np.ndarray, bits: int) -> tuple[int, bytes]:
@@ -134,7 +137,7 @@ def suspects(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     Digests stay where they were made; codes go to the owners, one for each distinct fingerprint of a chunk, and bitmaps come back.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    owners = partitions(docs.sparkSession)
+    owners = max(partitions(docs.sparkSession), math.ceil(docs.count() / OWNER_ROWS))
     rows = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_code(owners), _CODED.format(kind=kind)), "digests")
     blocks = rows.select("part", "chunk", F.explode("blocks").alias("b")).select("part", "chunk", "b.*")
     replies = blocks.groupBy("owner").applyInArrow(_answer, "part int, chunk int, owner int, n int, bits binary")
