@@ -14,6 +14,7 @@ Contexts of an anchor piece that very many contexts share are compared string by
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,8 @@ HOT_CONTEXTS = 20_000
 SYMBOLS = 250_000
 #: Owners of hash ranges for each partition of a shuffle; a task takes its owners one after the other.
 OWNERS = 4
+#: Contexts whose cores go to an owner, about: with more of them there are more owners, whatever the settings of shuffles.
+OWNER_CONTEXTS = 50_000
 #: Up to so many texts, their places are broadcast, so that texts stay where they are; more are joined by a shuffle.
 #: Contexts, of which there are many more, are always joined by a shuffle.
 BROADCAST_ROWS = 400_000
@@ -136,9 +139,9 @@ def _cores(length: int, owners: int):
             owner = (every["core"] % U(owners)).astype(np.int64)
             order = np.argsort(owner, kind="stable")
             every, owner = every[order], owner[order]
-            cuts = np.searchsorted(owner, np.arange(owners + 1))
-            hit = np.flatnonzero(np.diff(cuts))
-            yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array([every[cuts[o] : cuts[o + 1]].tobytes() for o in hit], pa.binary())], names=["owner", "cores"])
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            parts = [x.tobytes() for x in np.split(every, starts[1:])] if len(starts) else []
+            yield pa.RecordBatch.from_arrays([pa.array(owner[starts], pa.int32()), pa.array(parts, pa.binary())], names=["owner", "cores"])
 
     return cores
 
@@ -279,7 +282,6 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
     if length < 2 * ANCHOR + STEP:
         raise ValueError(f"length must be {2 * ANCHOR + STEP} or more")
     spark = docs.sparkSession
-    owners = partitions(spark) * OWNERS
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("sid"))
     limited = lambda df: sized(df, BROADCAST_ROWS)
 
@@ -293,6 +295,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
 
     mixed = shared.filter("kinds > 1 and sid = at.sid and anchor = at.anchor").select("sid", "anchor", "first", "last", (F.col("kinds") > hot).alias("hot"))
     mixed = written(mixed.dropDuplicates(["sid", "anchor"]), "mixed")
+    many = mixed.groupBy("hot").count().collect()  # two rows at most
+    owners = max(partitions(spark) * OWNERS, math.ceil(sum(r["count"] for r in many if not r["hot"]) / OWNER_CONTEXTS))
     names = docs.groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
 
     def texts(rows: DataFrame) -> DataFrame:
@@ -303,7 +307,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
     blocks = texts(mixed.filter("not hot")).mapInArrow(_cores(length, owners), "owner int, cores binary")
     some = blocks.groupBy("owner").applyInArrow(_owner(length), "sid long, start long, end long")
     found = whole.unionByName(some)
-    if mixed.filter("hot").take(1):
+    if any(r["hot"] for r in many):
         strings = written(texts(mixed.filter("hot")).mapInArrow(_strings(length), "h long, more long, sid long, start long").distinct(), "strings")
         again = strings.groupBy("h", "more").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h", "more")
         found = found.unionByName(strings.join(again, ["h", "more"], "left_semi").select("sid", "start", (F.col("start") + length).alias("end")))
