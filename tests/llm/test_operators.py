@@ -93,6 +93,25 @@ def test_jaccard_join_finds_components(docs):
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in out) == brute_components(pairs(docs))
 
 
+def test_jaccard_join_with_owners_by_shingles(docs, monkeypatch):
+    """Owners follow the number of shingles, and a table of sent sets that is too small changes nothing."""
+    monkeypatch.setattr(jaccard_join, "OWNER_SHINGLES", 150)
+    monkeypatch.setattr(jaccard_join, "SENT", 4)
+    used = []
+    send = jaccard_join._send_counts
+    monkeypatch.setattr(jaccard_join, "_send_counts", lambda owners, n: used.append(owners) or send(owners, n))
+    out = jaccard_join.similar_documents(docs).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in out) == brute_components(pairs(docs))
+    assert used == [-(-sum(r["n_shingles"] for r in out) // 150)]
+
+
+def test_table_of_sent_sets():
+    sent = ~np.arange(8)
+    assert jaccard_join._unsent(sent, np.array([0, 7, -1, 9])).tolist() == [True] * 4  # 7 and -1 have one place
+    assert jaccard_join._unsent(sent, np.array([0, 9, -1, 5])).tolist() == [False, False, False, True]
+    assert jaccard_join._unsent(sent, np.array([7, 1])).tolist() == [True, True]
+
+
 def test_jaccard_join_of_many_variants(spark, monkeypatch):
     """A chain and a cloud of variants around one text, with small blocks and few frequent shingles allowed."""
     monkeypatch.setattr(jaccard_join, "BLOCK", 4)
@@ -517,6 +536,22 @@ def test_item_ids_are_kept_as_they_are(spark, way, ids, kind):
     assert one["_items"] == want and one["_n_hit"] == 10 + len(ids) and none["_items"] == [] and none["_n_hit"] == 0
 
 
+def test_windows_that_very_many_items_have(spark, way):
+    """Hits carry the number of a set of items, never the items; a document's items are complete."""
+    common, own = " ".join(f"c{i}" for i in range(14)), lambda k: " ".join(f"own{k}x{i}" for i in range(10))
+    bench = spark.createDataFrame([(k, f"{common} {own(k)}") for k in range(300)] + [(900, own(900))], "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"a {common} b" if k % 2 else f"{own(k)} . {own(900)}") for k in range(20)], "doc_id long, text string")
+    table = decontamination.windows(bench)
+    assert table.filter(F.size("items") == 300).count() == 5
+    rows = {r["doc_id"]: r for r in decontamination.scan(docs, bench).collect()}
+    every = sorted(str(k) for k in range(300))
+    assert all(list(rows[k]["_items"]) == (every if k % 2 else sorted([str(k), "900"])) for k in range(20))
+    assert all(rows[k]["_n_hit"] == (14 if k % 2 else 20) for k in range(20))
+    found, sets = decontamination._found(docs, bench, 10, "doc_id", "text")
+    assert dict(found.dtypes)["sets"] == "array<bigint>" and found.filter("size(sets) > 2").count() == 0
+    assert sets.count() == 302  # one of all 300, one of each, one of 900
+
+
 def test_decontamination_of_odd_tables(spark, odd, empty, way):
     bench = spark.createDataFrame([(1, "w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13")], "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

@@ -16,6 +16,7 @@ Shingle hashes travel between partitions as packed blocks, not as rows. A compar
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,10 @@ BROADCAST_IDS = 1_000_000
 HELD = 250_000
 #: Owners of hash ranges for each partition of a shuffle; a task takes its owners one after the other.
 OWNERS = 4
+#: Shingles of all documents for an owner, about: with more of them there are more owners, whatever the settings of shuffles.
+OWNER_SHINGLES = 5_000_000
+#: Places of a task's table of sets that it has sent (a power of two). It saves repeats; owners drop those that it misses.
+SENT = 1 << 20
 #: Times what similar sets share at least: so much makes a set join another. It decides on groups, not on links.
 JOINS = 1
 #: Sets in a block, on average, and common shingles that are counted at once.
@@ -80,23 +85,22 @@ _BLOCK = "owner int, n int, k int, code binary, more binary"
 _BLOCK_ARROW = pa.schema([("owner", pa.int32()), ("n", pa.int32()), ("k", pa.int32()), ("code", pa.binary()), ("more", pa.binary())])
 
 
-def _blocks(owner: np.ndarray, value: np.ndarray, more: np.ndarray, owners: int) -> pa.RecordBatch:
+def _blocks(owner: np.ndarray, value: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
     """One block for each owner of (value, more), sorted by both, without repeats if `more` is an id."""
     order = np.lexsort((more, value, owner))
     owner, value, more = owner[order], value[order], more[order]
-    cuts = np.searchsorted(owner, np.arange(owners + 1))
+    starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
     rows = []
-    for o in np.flatnonzero(np.diff(cuts)):
-        a, b = cuts[o], cuts[o + 1]
+    for a, b in zip(starts.tolist(), np.append(starts[1:], len(owner)).tolist()):
         k, code = golomb_encode(value[a:b], BITS)
-        rows.append({"owner": int(o), "n": int(b - a), "k": k, "code": code, "more": more[a:b].tobytes()})
+        rows.append({"owner": int(owner[a]), "n": int(b - a), "k": k, "code": code, "more": more[a:b].tobytes()})
     return pa.RecordBatch.from_pylist(rows, schema=_BLOCK_ARROW)
 
 
 def _send_counts(owners: int, n: int):
     def flush(held: list[np.ndarray]) -> pa.RecordBatch:
         h, counts = np.unique(np.concatenate(held), return_counts=True)
-        return _blocks(*_owned(h, owners), np.minimum(counts, 65_535).astype("<u2"), owners)
+        return _blocks(*_owned(h, owners), np.minimum(counts, 65_535).astype("<u2"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -141,21 +145,28 @@ def _need(size: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), F.floor(F.ceil(size * percent / 100) / SHARE)).cast("long")
 
 
+def _unsent(sent: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Of distinct ids, which are not in the table; they enter it, each at its one place, where a later one replaces it."""
+    at = ids & (len(sent) - 1)
+    new = sent[at] != ids
+    sent[at[new]] = ids[new]
+    return new
+
+
 def _send_prefixes(owners: int, n: int, percent: int, frequent):
     def flush(held: list) -> pa.RecordBatch:
-        return _blocks(*_owned(np.concatenate([x[0] for x in held]), owners), np.concatenate([x[1] for x in held]), owners)
+        return _blocks(*_owned(np.concatenate([x[0] for x in held]), owners), np.concatenate([x[1] for x in held]))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, sent = [], 0, np.zeros(0, dtype=np.int64)
+        held, size, sent = [], 0, ~np.arange(SENT)  # no id is at home where its complement is
         hot = frequent.value
         for batch in batches:
             for i, j, row, h in shingle_sets(batch.column(0), n):
                 sizes, ids = digests(row, h, j - i)
                 _, first = np.unique(ids, return_index=True)
                 take = np.zeros(j - i, dtype=bool)
-                take[first] = True
-                take &= (sizes > 0) & ~np.isin(ids, sent)  # equal sets go once from a task
-                sent = np.union1d(sent, ids[take])
+                first = first[sizes[first] > 0]
+                take[first[_unsent(sent, ids[first])]] = True  # equal sets seldom go twice from a task
                 keep = take[row]
                 row, h = row[keep], h[keep]
                 owner, value = _owned(h, owners)
@@ -316,10 +327,11 @@ def _opened(left: DataFrame, right: DataFrame, sets_of, percent: int) -> DataFra
 def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Of documents (doc_id, text): doc_id, mark (a hash of the text), n_shingles, set (null if empty); and of each set: its component."""
     spark = docs.sparkSession
-    owners = partitions(spark) * OWNERS
     kind = docs.schema["doc_id"].dataType.simpleString()
     described = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(_documents(n), f"doc_id {kind}, mark long, n_shingles long, set long")
     described = written(described, "sets")
+    every = described.agg(F.sum("n_shingles")).first()[0] or 0
+    owners = max(partitions(spark) * OWNERS, math.ceil(every / OWNER_SHINGLES))
     first = described.filter("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("size"))
     first = written(first, "distinct-sets")
 
