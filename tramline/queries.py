@@ -390,7 +390,7 @@ def merge_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT event_id FROM events WHERE epoch((SELECT max(ts) FROM events)) - epoch(ts) > 259200")
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = A.table(spark, sf_dir, "events").select("event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("modified"))
+    events = A.table(spark, sf_dir, "events").select("event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("modified"))  # with fractions, as epoch() has them
     now = events.agg(F.max("modified").alias("now"))
     return events.join(F.broadcast(now)).filter(S.is_older(F.col("modified"), F.col("now"), 3 * 86_400)).select("event_id")
 
