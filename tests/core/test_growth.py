@@ -20,3 +20,22 @@ def test_freshness_counts_fractions_of_seconds(spark, tmp_path):
     want = sorted(con.execute(queries.oracle_sql()["freshness"]).fetchall())
     assert want == [(2,), (4,), (5,)]
     assert sorted(tuple(r) for r in queries.freshness(spark, str(tmp_path)).collect()) == want
+
+
+def test_points_at_one_spot_are_looked_up_once(spark, monkeypatch):
+    from tramline.operators import nearest as module
+
+    looked_up = []
+    kept = module.kept
+
+    def counting(df, name):
+        out = kept(df, name)
+        looked_up.extend([out.count()] if name == "nearest" else [])
+        return out
+
+    monkeypatch.setattr(module, "kept", counting)
+    points = spark.range(500).select("id", (F.col("id") % 2 * 1.5).alias("lat"), F.lit(-0.0).alias("lon"))
+    places = spark.range(7).select(F.col("id").alias("place_id"), (F.col("id") * 0.25).alias("lat"), F.lit(0.0).alias("lon"))
+    rows = module.nearest(points, places, 3).collect()
+    assert sorted((r["id"], r["rank"], r["place_id"]) for r in rows) == sorted((i, n + 1, p) for i in range(500) for n, p in enumerate([0, 1, 2] if i % 2 == 0 else [6, 5, 4]))
+    assert sum(looked_up) == 2 * 3
