@@ -39,3 +39,12 @@ def test_points_at_one_spot_are_looked_up_once(spark, monkeypatch):
     rows = module.nearest(points, places, 3).collect()
     assert sorted((r["id"], r["rank"], r["place_id"]) for r in rows) == sorted((i, n + 1, p) for i in range(500) for n, p in enumerate([0, 1, 2] if i % 2 == 0 else [6, 5, 4]))
     assert sum(looked_up) == 2 * 3
+
+
+def test_no_table_of_stations_is_broadcast(spark):
+    from tramline.plans import feeds
+
+    stations = spark.range(9).select(F.col("id").cast("string").alias("scode"), F.parse_json(F.lit('{"provider":"p"}')).alias("smetadata"))
+    plugs = spark.range(9).select(F.lit("x").alias("scode"), F.col("id").cast("string").alias("pcode"), F.lit("n").alias("sname"), F.parse_json(F.lit("1")).alias("mvalue"), F.parse_json(F.lit("{}")).alias("smetadata"), F.lit(1).alias("ordinal"))
+    plan = feeds.charger_facets(stations, plugs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

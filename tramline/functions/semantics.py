@@ -59,9 +59,10 @@ def truthy_variant(v: Column) -> Column:
     text = F.try_variant_get(v, "$", "string")
     number = F.try_variant_get(v, "$", "double")
     kind = _kind(v)
+    nested = F.try_variant_get(v, "$", "struct<>").isNotNull() | F.try_variant_get(v, "$", "array<variant>").isNotNull()  # cheaper than a schema, which goes through all of it
     return F.coalesce(
         F.when(v.isNull() | F.is_variant_null(v), False)
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), True)
+        .when(nested, True)
         .when(kind == "STRING", text != "")
         .when(kind == "BOOLEAN", text == "true")
         .otherwise((number != 0) & ~F.isnan(number)),

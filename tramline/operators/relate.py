@@ -1,4 +1,7 @@
-"""Relating parents and children: lookups, counts, nesting, roll-up, last values. Every order is an explicit column."""
+"""Relating parents and children: lookups, counts, nesting, roll-up, last values. Every order is an explicit column.
+
+What is made of children grows with the parents, and the estimate of its size may be far too low, so it is merged and never broadcast.
+"""
 
 from __future__ import annotations
 
@@ -17,7 +20,7 @@ def first_match(left: DataFrame, right: DataFrame, on: Column, key: str, order:
 def count_children(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, **counts: Column) -> DataFrame:
     """Adds sums over the children of each parent, 0 without any. Children are added up before the join."""
     added = children.groupBy(F.col(child_key).alias("_parent")).agg(*[c.alias(n) for n, c in counts.items()])
-    out = parents.join(added, F.col(parent_key) == F.col("_parent"), "left").drop("_parent")
+    out = parents.join(added.hint("merge"), F.col(parent_key) == F.col("_parent"), "left").drop("_parent")
     return out.withColumns({n: F.coalesce(n, F.lit(0).cast("bigint")) for n in counts})
 
 
@@ -25,7 +28,7 @@ def nest_children(parents: DataFrame, children: DataFrame, parent_key: str, chil
     """Adds each parent's children as an array of structs, in order; an empty array without any."""
     row = F.struct(F.col(order).alias("_order"), F.struct(*fields).alias("row"))
     nested = children.groupBy(F.col(child_key).alias("_parent")).agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["row"]).alias(name))
-    out = parents.join(nested, F.col(parent_key) == F.col("_parent"), "left").drop("_parent")
+    out = parents.join(nested.hint("merge"), F.col(parent_key) == F.col("_parent"), "left").drop("_parent")
     return out.withColumn(name, F.coalesce(name, F.array().cast(nested.schema[name].dataType)))
 
 
@@ -63,7 +66,7 @@ def roll_up(children: DataFrame, parents: DataFrame, child_key: str, parent_key:
     row = F.struct(order, distinct, appended)
     lists = children.groupBy(F.col(child_key).alias("_parent")).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
     both = lists.select("_parent", F.array_distinct(F.flatten(F.col(f"_rows.{distinct}"))).alias(distinct), F.flatten(F.col(f"_rows.{appended}")).alias(appended))
-    return parents.join(both, F.col(parent_key) == F.col("_parent")).drop("_parent")
+    return parents.join(both.hint("merge"), F.col(parent_key) == F.col("_parent")).drop("_parent")
 
 
 def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:

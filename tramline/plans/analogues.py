@@ -128,7 +128,11 @@ def plugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as plugs: the type stands in the first outlet, on the plug, or nowhere."""
     n, kind = F.col("l_linenumber"), F.concat(F.lit("type "), F.col("l_returnflag"))
     outlet = F.array(F.struct(kind.alias("outletTypeCode"), F.col("l_quantity").alias("maxPower")))
-    meta = variant(outlets=F.when(n % 3 == 0, outlet), outletTypeCode=F.when(n % 3 == 1, F.col("l_linestatus")), maxPower=F.when(n % 3 == 1, F.lit(11.0)))
+    flat = F.struct(F.col("l_linestatus").alias("outletTypeCode"), F.lit(11.0).alias("maxPower"))
+    absent = F.col("l_returnflag").isNull() | F.col("l_linestatus").isNull() | F.col("l_quantity").isNull() | n.isNull()
+    # straight from columns, which takes a third of the time that JSON takes, where no field is absent
+    meta = F.when(absent, variant(outlets=F.when(n % 3 == 0, outlet), outletTypeCode=F.when(n % 3 == 1, F.col("l_linestatus")), maxPower=F.when(n % 3 == 1, F.lit(11.0))))
+    meta = meta.when(n % 3 == 0, F.to_variant_object(F.struct(outlet.alias("outlets")))).when(n % 3 == 1, F.to_variant_object(flat)).otherwise(F.parse_json(F.lit("{}")))
     value = F.when(F.col("l_quantity") > 25, F.parse_json(F.lit("1"))).when(F.col("l_quantity") > 15, F.parse_json(F.lit('"1"'))).otherwise(F.parse_json(F.lit("0")))
     return table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber")).alias("scode"), _text("l_orderkey").alias("pcode"), _text("l_partkey").alias("sname"), value.alias("mvalue"), once(F.when(n != 7, meta)).alias("smetadata"), n.alias("ordinal")

@@ -213,7 +213,8 @@ def charger_facets(stations: DataFrame, plugs: DataFrame) -> DataFrame:
         S.yes_no(S.truthy_variant(S.field(meta, "reservable"))).alias("reservable"),
         text("state").alias("state"),
     )
-    types = plugs_of(plugs).join(stations.select(F.col("scode").alias("pcode")), "pcode", "left_semi").select(F.lit("plugsTypes").alias("facet"), F.col("type_key").alias("value"))
+    known = stations.select(F.col("scode").alias("pcode")).hint("merge")  # as many as there are stations, whatever the estimate says
+    types = plugs_of(plugs).select("pcode", "type_key").join(known, "pcode", "left_semi").select(F.lit("plugsTypes").alias("facet"), F.col("type_key").alias("value"))
     return facets(rows, rows.columns).union(types.distinct())
 
 
