@@ -48,3 +48,15 @@ def test_no_table_of_stations_is_broadcast(spark):
     plugs = spark.range(9).select(F.lit("x").alias("scode"), F.col("id").cast("string").alias("pcode"), F.lit("n").alias("sname"), F.parse_json(F.lit("1")).alias("mvalue"), F.parse_json(F.lit("{}")).alias("smetadata"), F.lit(1).alias("ordinal"))
     plan = feeds.charger_facets(stations, plugs)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_only_plugs_of_listed_stations_are_opened(spark):
+    from tramline.plans import feeds
+
+    at = F.struct((F.lit(10.0) + F.col("id")).alias("x"), F.lit(46.0).alias("y"))
+    stations = spark.range(9).select(F.col("id").cast("string").alias("scode"), F.lit("n").alias("sname"), F.lit(True).alias("sactive"), at.alias("scoordinate"), F.parse_json(F.lit('{"provider":"p"}')).alias("smetadata"))
+    plugs = spark.range(9).select(F.lit("x").alias("scode"), F.col("id").cast("string").alias("pcode"), F.lit("n").alias("sname"), F.parse_json(F.lit("1")).alias("mvalue"), F.parse_json(F.lit('{"maxPower":3}')).alias("smetadata"), F.lit(1).alias("ordinal"))
+    rows = feeds.charger_stations(stations, plugs, "11,46,12,47")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "Broadcast" not in plan
+    assert sorted((r["station_id"], len(r["plugs"])) for r in rows.collect()) == [("1", 1), ("2", 1)]

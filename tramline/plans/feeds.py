@@ -185,7 +185,8 @@ def charger_stations(stations: DataFrame, plugs: DataFrame, bbox: str | None = N
     meta, text = F.col("smetadata"), lambda name: S.get(F.col("smetadata"), name, "string")
     rows = stations.filter(S.truthy(F.col("sactive")) & described() & geo.in_bbox(F.col("scoordinate.x"), F.col("scoordinate.y"), geo.parse_bbox(bbox)))
     fields = ["plug_id", "name", "available", "maxPower", "maxCurrent", "minCurrent", "outletTypeCode", "type_key"]
-    rows = nest_children(rows, plugs_of(plugs), "scode", "pcode", "ordinal", fields, "plugs")
+    wanted = plugs.join(rows.select(F.col("scode").alias("pcode")).hint("merge"), "pcode", "left_semi")  # others are not worth opening their metadata
+    rows = nest_children(rows, plugs_of(wanted), "scode", "pcode", "ordinal", fields, "plugs")
     return rows.select(
         F.col("scode").alias("station_id"),
         F.col("sname").alias("name"),
