@@ -1,5 +1,6 @@
 """Map extracts and vector tiles: generated files come back element by element."""
 
+import collections
 import gzip
 import lzma
 import math
@@ -133,6 +134,15 @@ def test_an_extract_comes_back(spark, world, extract, split):
     assert {r["id"] for r in roads.filter("kind = 'node'").collect()} == used
 
 
+def test_a_condition_holds_where_it_is_asked_for(spark, world, extract):
+    """Not in later uses of the same rows, nor in others of the same query."""
+    rows, n = mapfile.read_extract(spark, extract), collections.Counter(r[0] for r in world)
+    ways, nodes = (rows.filter(F.col("kind") == k) for k in ("way", "node"))
+    assert (ways.count(), rows.count(), nodes.count(), rows.count()) == (n["way"], len(world), n["node"], len(world))
+    assert {r["kind"]: r["count"] for r in ways.unionAll(nodes).groupBy("kind").count().collect()} == {"way": n["way"], "node": n["node"]}
+    assert plain(mapfile.read_extract(spark, extract, kinds=["way", "relation"]).collect()) == plain([r for r in world if r[0] != "node"])
+
+
 def test_bad_extracts(spark, tmp_path, extract):
     data = open(extract, "rb").read()
     (tmp_path / "cut").write_bytes(data[:-30])

@@ -81,6 +81,13 @@ def test_conditions_on_coordinates_reach_the_request(spark, service, located, co
         assert (min(a[0] for a in asked), asked[0][1], max(a[2] for a in asked), asked[0][3]) == box
 
 
+def test_a_box_ends_with_its_query(spark, service, located):
+    url, asked = service
+    rows = boxed.read_located(spark, f"{url}/latest?limit=-1", "&where=scoordinate.bbc.({box})")
+    inside = rows.filter("x >= 11 and x <= 12").count()
+    assert 0 < inside < rows.count() == len(located) and rows.filter("x >= 11 and x <= 12").count() == inside and [a is None for a in asked] == [False, True, False]
+
+
 def test_a_box_that_is_empty_asks_nothing(spark, service):
     url, asked = service
     rows = boxed.read_located(spark, f"{url}/latest?limit=-1", "&where=scoordinate.bbc.({box})")

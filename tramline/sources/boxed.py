@@ -48,8 +48,9 @@ class _Reader(DataSourceReader):
             self.boxed = True
             if isinstance(f, In | GreaterThan | LessThan) or not self.exact:
                 left.append(f)
-        # what is in the box has coordinates
-        return [f for f in left if not (self.boxed and isinstance(f, IsNotNull) and f.attribute in (("x",), ("y",)))]
+        # what is in the box has coordinates, and every row has its ordinal
+        sure = {("x",), ("y",), ("ordinal",)} if self.boxed else {("ordinal",)}
+        return [f for f in left if not (isinstance(f, IsNotNull) and f.attribute in sure)]
 
     def partitions(self) -> list[_Strip]:
         """The box in strips from left to right, one request each; a box that nothing can be in needs none."""
@@ -93,7 +94,11 @@ class BoxedRest(DataSource):
 
 
 def read_located(spark: SparkSession, url: str, where: str, strips: int = 1, exact: bool = True, **options: str) -> DataFrame:
-    """Located rows of a service; filter the result by x and y, and the request is for no more."""
+    """Located rows of a service; filter the result by x and y, and the request is for no more.
+
+    What a Python reader takes of a query's filters holds for later uses of the same DataFrame that have none, so each use has one, which every row
+    meets. Within one query, uses with different boxes need a DataFrame each: the box of the last would hold for all.
+    """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(BoxedRest)
-    return spark.read.format("boxed_rest").options(url=url, where=where, strips=strips, exact=exact, **options).load()
+    return spark.read.format("boxed_rest").options(url=url, where=where, strips=strips, exact=exact, **options).load().filter("ordinal IS NOT NULL")

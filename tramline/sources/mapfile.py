@@ -5,13 +5,13 @@ from __future__ import annotations
 import json
 import lzma
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .files import at
 from .wire import fields, packed, signed, two, zigzag
@@ -153,15 +153,7 @@ class _Range(InputPartition):
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.paths, self.split, self.wanted = json.loads(options["paths"]), int(options.get("split", SPLIT)), set(MEMBERS)
-
-    def pushFilters(self, filters: list) -> Iterable:
-        """Kinds that nobody wants are not decoded."""
-        for f in filters:
-            if isinstance(f, EqualTo | In) and f.attribute == ("kind",):
-                self.wanted &= {f.value} if isinstance(f, EqualTo) else set(f.value)
-            else:
-                yield f
+        self.paths, self.split, self.wanted = json.loads(options["paths"]), int(options.get("split", SPLIT)), set(json.loads(options.get("kinds", "null")) or MEMBERS)
 
     def partitions(self) -> list[_Range]:
         out = []
@@ -198,7 +190,7 @@ class _Reader(DataSourceReader):
 
 
 class MapExtract(DataSource):
-    """format("map_extract"): options paths (JSON list), split (bytes of a partition). Elements as in plans/elements.py."""
+    """format("map_extract"): options paths (JSON list), split (bytes of a partition), kinds (JSON list, all if it isn't given). Elements as in plans/elements.py."""
 
     @classmethod
     def name(cls) -> str:
@@ -211,8 +203,11 @@ class MapExtract(DataSource):
         return _Reader(self.options)
 
 
-def read_extract(spark: SparkSession, paths: str | list[str], split: int = SPLIT) -> DataFrame:
-    """Elements of map extracts. A condition on `kind` reaches the reader; a partition is a range of bytes, wherever its blobs begin."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+def read_extract(spark: SparkSession, paths: str | list[str], split: int = SPLIT, kinds: list[str] | None = None) -> DataFrame:
+    """Elements of map extracts, of some kinds if they are given; others are not decoded. A partition is a range of bytes, wherever its blobs begin.
+
+    Conditions stay with Spark: a filter that a Python reader takes holds for every later use of the same DataFrame, too, so rows would be lacking there.
+    """
     spark.dataSource.register(MapExtract)
-    return spark.read.format("map_extract").options(paths=json.dumps([paths] if isinstance(paths, str) else paths), split=split).load()
+    options = {"paths": json.dumps([paths] if isinstance(paths, str) else paths), "split": split} | ({"kinds": json.dumps(kinds)} if kinds else {})
+    return spark.read.format("map_extract").options(**options).load()
