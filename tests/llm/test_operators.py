@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import re
+import sys
 
 import numpy as np
 import pytest
@@ -439,6 +440,20 @@ def test_a_step_of_training_is_that_of_the_plain_network():
         assert np.allclose(p[k], before[k] - lm_scoring.RATE * g / np.sqrt(1 + square), atol=1e-4), k
 
 
+def test_parameters_of_all_classes_are_stepped_together():
+    """A step calls few functions beside two products a class; without that, most of its CPU seconds aren't arithmetic."""
+    rng, n = np.random.default_rng(6), lm_scoring.CLASSES**2
+    state = np.concatenate([lm_scoring.initial(), lm_scoring.squares_at_first()])
+    p, squares = lm_scoring.unpack(state), lm_scoring.unpack(state[lm_scoring._SIZE :], lm_scoring._SQUARES)
+    called = collections.Counter()
+    sys.setprofile(lambda frame, event, what: called.update([event]))
+    try:
+        lm_scoring.learn(p, squares, rng.permutation(n), rng.integers(0, n + 1, (n, 4)))
+    finally:
+        sys.setprofile(None)
+    assert called["call"] + called["c_call"] < 4 * lm_scoring.CLASSES
+
+
 @pytest.mark.parametrize("block", [lm_scoring.BLOCK, 50])
 def test_lm_scores_are_of_words(spark, docs, odd, empty, monkeypatch, block):
     """The network's score of symbols and, by counts over all texts, each rarer word's share of its symbol; a table that grows with the words."""

@@ -76,11 +76,12 @@ def _symbols(w: Words, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     if len(common):
         place = np.minimum(np.searchsorted(common, w.hashes), len(common) - 1)
         ids = np.where(common[place] == w.hashes, place, ids)
-    around = np.full((len(ids), len(_OFFSETS)), _NONE, dtype=np.int64)
-    for c, o in enumerate(_OFFSETS):
-        here = np.arange(max(0, -o), len(ids) - max(0, o)) if len(ids) > abs(o) else np.zeros(0, np.int64)
-        same = w.row[here] == w.row[here + o]
-        around[here[same], c] = ids[here[same] + o]
+    around = np.full((len(_OFFSETS), len(ids)), _NONE, dtype=np.int64)
+    for column, o in zip(around, _OFFSETS):
+        if len(ids) > abs(o):
+            here, there = (slice(max(0, x), len(ids) - max(0, -x)) for x in (-o, o))
+            np.copyto(column[here], ids[there], where=w.row[here] == w.row[there])
+    around = around.T
     return ids, around, w.row
 
 
@@ -99,27 +100,35 @@ def _by_class(ids: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
     return order, [(int(c), slice(edges[c], edges[c + 1])) for c in np.flatnonzero(np.diff(edges))]
 
 
-def _logits(p: dict, runs: list[tuple[int, slice]], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of words in order of their first class: hidden layer, and logits of the first and of the second classes, given the first."""
-    hidden = np.take(p["embed"][0], around[:, 0], axis=0)
+def _weights(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Of the first and of the second classes: weights, with the bias as that of one more hidden unit, which is 1."""
+    return np.concatenate([p["w1"], p["b1"][None]]), np.concatenate([p["w2"], p["b2"][:, None]], axis=1)
+
+
+def _logits(p: dict, weights: tuple[np.ndarray, np.ndarray], runs: list[tuple[int, slice]], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of words in order of their first class: hidden layer, with the unit that is 1, and logits of the first and of the second classes, given the first."""
+    total = np.take(p["embed"][0], around[:, 0], axis=0)
     for c in range(1, around.shape[1]):
-        hidden += np.take(p["embed"][c], around[:, c], axis=0)
-    hidden += p["bias"]
-    np.tanh(hidden, out=hidden)
-    first = hidden @ p["w1"]
-    first += p["b1"]
+        total += np.take(p["embed"][c], around[:, c], axis=0)
+    total += p["bias"]
+    hidden = np.ones((len(around), HIDDEN + 1), np.float32)
+    np.tanh(total, out=hidden[:, :HIDDEN])
+    first = hidden @ weights[0]
     second = np.empty_like(first)
     for c, run in runs:
-        np.matmul(hidden[run], p["w2"][c], out=second[run])
-        second[run] += p["b2"][c]
+        np.matmul(hidden[run], weights[1][c], out=second[run])
     return hidden, first, second
 
 
-def log_probabilities(p: dict, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
+def _ordered(around: np.ndarray, order: np.ndarray) -> np.ndarray:
+    return np.take(around.T, order, axis=1).T  # each offset lies in one piece
+
+
+def log_probabilities(p: dict, ids: np.ndarray, around: np.ndarray, weights: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """Of the symbols, given those around them."""
     order, runs = _by_class(ids)
     ids, row, out = ids[order], np.arange(len(ids)), np.empty(len(ids), np.float32)
-    _, first, second = _logits(p, runs, around[order])
+    _, first, second = _logits(p, weights or _weights(p), runs, _ordered(around, order))
     own = first[row, ids // CLASSES], second[row, ids % CLASSES]
     out[order] = sum(np.clip(x, -60, 60) - np.log(_exp(logits)[1]) for x, logits in zip(own, (first, second)))
     return out
@@ -131,33 +140,32 @@ def learn(p: dict, squares: dict, ids: np.ndarray, around: np.ndarray) -> None:
     The vector of a word on a side has one sum of squares, of means over the vector.
     """
     order, runs = _by_class(ids)
-    ids, around, n, row = ids[order], around[order], len(ids), np.arange(len(ids))
-    hidden, first, second = _logits(p, runs, around)
+    ids, around, n, row = ids[order], _ordered(around, order), len(ids), np.arange(len(ids))
+    hidden, first, second = _logits(p, weights := _weights(p), runs, around)
     scale = np.float32(1 / np.sqrt(n))
     for logits, own in ((first, ids // CLASSES), (second, ids % CLASSES)):
         _, total = _exp(logits)
         logits *= (scale / total)[:, None]
         logits[row, own] -= scale
-    back = first @ p["w1"].T
-    for c, run in runs:
-        back[run] += second[run] @ p["w2"][c].T
-    back *= 1 - hidden * hidden
-
-    def step(name: str, at, g: np.ndarray, square: np.ndarray) -> None:
-        squares[name][at] += square
-        p[name][at] -= RATE * g / np.sqrt(squares[name][at])
-
-    for name, g in (("bias", back.sum(axis=0)), ("w1", hidden.T @ first), ("b1", first.sum(axis=0))):
-        step(name, ..., g, g * g)
+    back, more = first @ p["w1"].T, np.empty((n, HIDDEN), np.float32)
+    g1, g2 = hidden.T @ first, np.zeros_like(weights[1])  # of the classes that don't occur, nothing changes
     for c, run in runs:
-        for name, g in (("w2", hidden[run].T @ second[run]), ("b2", second[run].sum(axis=0))):
-            step(name, c, g, g * g)
-    for c in range(around.shape[1]):
-        order = np.argsort(around[:, c].astype(np.int16), kind="stable")
-        where = around[order, c]
-        at = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
-        g = np.add.reduceat(back[order], at, axis=0)
-        step("embed", (c, where[at]), g, (g * g).mean(axis=1, keepdims=True))
+        np.matmul(second[run], p["w2"][c].T, out=more[run])
+        np.matmul(hidden[run].T, second[run], out=g2[c])
+    back += more
+    back *= 1 - hidden[:, :HIDDEN] ** 2
+
+    for name, g in (("bias", np.ones(n, np.float32) @ back), ("w1", g1[:HIDDEN]), ("b1", g1[HIDDEN]), ("w2", g2[:, :HIDDEN]), ("b2", g2[:, HIDDEN])):
+        squares[name] += g * g
+        p[name] -= RATE * g / np.sqrt(squares[name])
+    back64, unit = back.astype(np.float64).ravel(), np.arange(HIDDEN)
+    for vectors, square, near in zip(p["embed"], squares["embed"], around.T):
+        there = np.bincount(near, minlength=_NONE + 1) > 0
+        at, place = np.flatnonzero(there), np.take(np.cumsum(there) - 1, near) * HIDDEN
+        g = np.bincount((place[:, None] + unit).ravel(), weights=back64).astype(np.float32).reshape(-1, HIDDEN)
+        sums = np.take(square, at, axis=0) + (np.einsum("ij,ij->i", g, g) / HIDDEN)[:, None]
+        square[at] = sums
+        vectors[at] = np.take(vectors, at, axis=0) - g * (RATE / np.sqrt(sums))
 
 
 _COPY = "part int, source long, words double, weights binary"
@@ -301,10 +309,11 @@ def _scored(model: Model, column: pa.Array) -> Iterator[tuple[int, int, np.ndarr
     """Of runs of rows: first row, row after the last, words of each, sum of the log-probabilities of their symbols, words of each
     that share symbols, hashes of all of these."""
     p = unpack(model.flat)
+    weights = _weights(p)
     for i, j, data, at in chunks(column):
         w = Words(data, at, LETTERS)
         ids, around, row = _symbols(w, model.common)
-        log = [log_probabilities(p, ids[a : a + STEP], around[a : a + STEP]) for a in range(0, len(ids), STEP)]
+        log = [log_probabilities(p, ids[a : a + STEP], around[a : a + STEP], weights) for a in range(0, len(ids), STEP)]
         sums = np.bincount(row, weights=np.concatenate(log), minlength=j - i) if log else np.zeros(j - i)
         rare = ids >= COMMON
         yield i, j, np.bincount(row, minlength=j - i), sums, np.bincount(row[rare], minlength=j - i), w.hashes[rare]
