@@ -218,6 +218,16 @@ def test_repeats_in_very_long_texts(spark):
     assert spans == {1: [(300_000, 300_500)], 2: [(100, 600 + 1_000_000)], 3: [(0, 400_000)]}
 
 
+def test_passages_of_over_50_words_go_from_400_bytes_on(spark):
+    rng = np.random.default_rng(12)
+    word = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    short, long = (" ".join(word(6) for _ in range(60))[:n] for n in (399, 400))
+    assert min(len(short.split()), len(long.split())) > 50
+    rows = [(1, f"{word(50)}<{short}>{word(500)}"), (2, f"{word(700)}({short}){word(90)}"), (3, f"{word(50)}<{long}>{word(500)}"), (4, f"{word(700)}({long}){word(90)}"), (5, word(900))]
+    out = {r["doc_id"]: r["removed"] for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: [(s["start"], s["end"]) for s in x] for d, x in out.items()} == {1: [], 2: [], 3: [(51, 451)], 4: [(701, 1101)], 5: []}
+
+
 def test_repeats_in_odd_tables(odd, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
     got = sorted((str(r["doc_id"]), len(r["kept"])) for r in suffix_dedup.remove_repeats(odd).collect())
